@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberscope.workload import event_queries, spatial_queries  # noqa: F401
+from emberscope.workload import (  # noqa: F401
+    event_queries,
+    feed_queries,
+    imagery_queries,
+    link_queries,
+    report_queries,
+    spatial_queries,
+)
 from emberscope.workload.catalog import QUERIES
 from emberscope.workload.views import Views
 

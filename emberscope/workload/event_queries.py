@@ -38,7 +38,7 @@ MODES = """
     WHERE rn = 1 GROUP BY ALL"""
 
 CENTRES = """
-    SELECT area_id, event_no, round(avg(lon), 6) AS lon, round(avg(lat), 6) AS lat
+    SELECT area_id, event_no, avg(lon) AS lon, avg(lat) AS lat
     FROM (SELECT DISTINCT area_id, event_no, lon, lat FROM {ev}) GROUP BY ALL"""
 
 
@@ -53,10 +53,13 @@ def farthest(ev_name: str, condition: str = "a.area_id = b.area_id", swap: bool
     GROUP BY ALL"""
 
 
-def event_sql(ev_name: str) -> str:
+ROUNDED_CENTRE = "round(c.lon, 6) AS lon, round(c.lat, 6) AS lat"
+
+
+def event_sql(ev_name: str, centre: str = ROUNDED_CENTRE) -> str:
     """Event table over a view of numbered detections."""
     return f"""
-    SELECT m.*, before_date, after_date, c.lon, c.lat,
+    SELECT m.*, before_date, after_date, {centre},
            round(coalesce(d, 0.0), 3) AS max_distance
     FROM (SELECT area_id, event_no, {MEASURES} FROM {ev_name} GROUP BY ALL) m
     JOIN ({CENTRES.format(ev=ev_name)}) c USING (area_id, event_no)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from emberscope.functions import geometry as g
 from emberscope.operators.spatial import PolygonCover, points_in_polygons, polygon_cover
@@ -29,9 +30,13 @@ class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A source table; its file schema is looked up once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def _with_cell(self, df: DataFrame, key: str) -> DataFrame:
         """Add ``cell = key % number of customers``."""
@@ -157,8 +162,8 @@ class Views:
         values = (
             self.table("lineitem")
             .groupBy("l_orderkey", "l_linenumber")
-            .agg({"l_extendedprice": "avg", "l_quantity": "avg"})
-            .toDF("scene_id", "px", "b8", "quantity")
+            .agg(F.avg("l_extendedprice").alias("b8"), F.avg("l_quantity").alias("quantity"))
+            .withColumnsRenamed({"l_orderkey": "scene_id", "l_linenumber": "px"})
         )
         cells = self.table("orders").selectExpr("o_orderkey AS scene_id", "o_custkey AS cell")
         return values.join(cells, "scene_id").selectExpr(
