@@ -48,7 +48,8 @@ def python_float_text(value: str) -> str:
     text, size = f"CAST({value} AS STRING)", f"abs({value})"
     plain_digits = f"trim(TRAILING '0' FROM CAST(CAST({text} AS DECIMAL(38, 20)) AS STRING))"
     exponent = (
-        f"regexp_replace(regexp_replace({text}, '\\\\.0E', 'E'), 'E-([0-9])$', 'e-0$1')"
+        f"regexp_replace(regexp_replace(replace({text}, '.0E', 'E'), 'E-([0-9])$', 'e-0$1'),"
+        " 'E([0-9])', 'e+$1')"
     )
     return (
         f"CASE WHEN {size} >= 1e-3D AND {size} < 1e7D OR {value} = 0D THEN {text}"
