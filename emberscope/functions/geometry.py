@@ -81,18 +81,24 @@ def touches_polygon_sql(
     rounding there cancels out.
     """
     straddles = f"(e.y1 <= {y}) != (e.y2 <= {y})"
-    whole = f"{straddles} AND ({_side('e', x, y)} > 0D) != (e.y2 > e.y1)"
+    side = _side("e", x, y)
+    # One pass over all edges: 0 / 1 is the parity so far, 2 means on an edge.
+    whole = (
+        f"aggregate({edges}, 0, (acc, e) -> CASE"
+        f" WHEN (e.y1 < {y} AND e.y2 < {y}) OR (e.y1 > {y} AND e.y2 > {y}) OR acc = 2 THEN acc"
+        f" WHEN {side} = 0D AND {x} >= least(e.x1, e.x2) AND {x} <= greatest(e.x1, e.x2) THEN 2"
+        f" WHEN {straddles} AND ({side} > 0D) != (e.y2 > e.y1) THEN 1 - acc ELSE acc END) != 0"
+    )
     turn = f"({_side('e', ref_x, y)} > 0D)"
     vertical = (
         f"((e.x1 <= {ref_x}) != (e.x2 <= {ref_x})"
         f" AND ({_side('e', ref_x, ref_y)} > 0D) != {turn})"
     )
-    across = f"({straddles} AND ({_side('e', x, y)} > 0D) != {turn})"
+    across = f"({straddles} AND ({side} > 0D) != {turn})"
     return (
-        f"CASE WHEN size({edges}) = 0 THEN {ref_inside}"
+        f"CASE WHEN {ref_inside} IS NULL THEN {whole}"
+        f" WHEN size({edges}) = 0 THEN {ref_inside}"
         f" WHEN {on_any_edge_sql(x, y, edges)} THEN true"
-        f" WHEN {ref_inside} IS NULL"
-        f" THEN aggregate({edges}, false, (acc, e) -> acc != ({whole}))"
         f" ELSE aggregate({edges}, {ref_inside}, (acc, e) -> acc != ({vertical} != {across})) END"
     )
 

@@ -14,6 +14,8 @@ from emberscope.session import cut_lineage
 # Cells per cutoff: a cell is small against the cutoff, so its points are few and
 # most cell pairs are decided by their boxes alone.
 CELLS_PER_CUTOFF = 8
+# Events up to this many distinct positions are looked at directly.
+FEW_POINTS = 64
 
 
 def _box_gap_m(nearest: bool) -> str:
@@ -42,24 +44,54 @@ def extent_within(
 ) -> DataFrame:
     """Largest distance among pairs of one event that are at most ``cutoff_m`` apart.
 
-    An event narrower than the cutoff is settled by its hull. The others are cut
-    into small cells; cell pairs are ruled in or out by their boxes, and only
-    pairs that may still raise the event's best known distance look at points.
+    An event narrower than the cutoff is settled by its hull, one with few distinct
+    positions by looking at them directly. The others are cut into small cells;
+    cell pairs are ruled in or out by their boxes, and only pairs that may still
+    raise the event's best known distance look at points.
     """
     if axis_order == "latlon":
         lon, lat = lat, lon
-    points = detections.selectExpr(*keys, f"{lon} AS lon", f"{lat} AS lat").distinct()
-    whole = cut_lineage(
-        _corners(points, keys, "lon", "lat", "lonlat").selectExpr(
-            *keys, f"{_farthest('corners')} AS diameter"
-        )
-    )
     limit = f"{float(cutoff_m)!r}D"
+    points = cut_lineage(
+        detections.selectExpr(*keys, f"{lon} AS lon", f"{lat} AS lat").distinct()
+    )
+    whole = (
+        _corners(points, keys, "lon", "lat", "lonlat")
+        .selectExpr(*keys, f"{_farthest('corners')} AS diameter")
+        .join(points.groupBy(*keys).agg(F.count("*").alias("n")), keys)
+    )
+    whole = cut_lineage(whole)
     narrow = whole.filter(f"diameter <= {limit}").selectExpr(*keys, "diameter AS max_distance")
-    wide = whole.filter(f"diameter > {limit}").select(*keys)
+    wide = whole.filter(f"diameter > {limit}")
+    few = (
+        points.join(wide.filter(f"n <= {FEW_POINTS}").select(*keys), keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.collect_list(F.struct("lon", "lat")).alias("pts"))
+        .selectExpr(*keys, f"{_best('pts', 'pts', limit)} AS max_distance")
+    )
+    many = wide.filter(f"n > {FEW_POINTS}").select(*keys)
+    settled = narrow.unionByName(few)
+    if many.limit(1).count() == 0:
+        return settled
+    return settled.unionByName(_extent_by_cells(points, many, keys, cutoff_m))
+
+
+def _best(a: str, b: str, limit: str) -> str:
+    """Largest distance up to the limit between two arrays of positions."""
+    distance = g.haversine_sql("a.lon", "a.lat", "b.lon", "b.lat")
+    return (
+        f"array_max(transform({a}, a -> array_max(filter(transform({b}, b -> {distance}),"
+        f" d -> d <= {limit}))))"
+    )
+
+
+def _extent_by_cells(
+    points: DataFrame, events: DataFrame, keys: list[str], cutoff_m: float
+) -> DataFrame:
+    limit = f"{float(cutoff_m)!r}D"
     step = cutoff_m / CELLS_PER_CUTOFF / (math.radians(1.0) * g.EARTH_RADIUS_M)
     cells = cut_lineage(
-        points.join(wide, keys, "left_semi")
+        points.join(events, keys, "left_semi")
         .selectExpr("*", f"{g.cell_sql('lat', step)} AS iy")
         # Columns are as wide in metres as rows are high, row by row.
         .selectExpr(
@@ -114,19 +146,13 @@ def extent_within(
     )
     pts_a = cells.selectExpr(*keys, "ix AS a_ix", "iy AS a_iy", "pts AS a_pts")
     pts_b = cells.selectExpr(*keys, "ix AS b_ix", "iy AS b_iy", "pts AS b_pts")
-    distance = g.haversine_sql("a.lon", "a.lat", "b.lon", "b.lat")
-    best = (
-        f"array_max(transform(a_pts, a -> array_max(filter(transform(b_pts, b -> {distance}),"
-        f" d -> d <= {limit}))))"
-    )
-    pairs = (
+    return (
         hopeful.join(pts_a, [*keys, "a_ix", "a_iy"])
         .join(pts_b, [*keys, "b_ix", "b_iy"])
-        .selectExpr(*keys, f"{best} AS d")
+        .selectExpr(*keys, f"{_best('a_pts', 'b_pts', limit)} AS d")
         .groupBy(*keys)
         .agg(F.max("d").alias("max_distance"))
     )
-    return narrow.unionByName(pairs)
 
 
 def extent_across_areas(

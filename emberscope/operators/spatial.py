@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from emberscope.functions import geometry as g
 from emberscope.schemas import EDGES
+from emberscope.session import cut_lineage
 
 SMALL_POLYGON_EDGES = 64
 BROADCAST_MAX_BYTES = 128 * 1024 * 1024
@@ -53,6 +54,10 @@ class PolygonCover:
             self._fits = rows <= max_rows and rows * _ROW_BYTES + edges * _EDGE_BYTES <= max_bytes
         return self._fits
 
+    def stored(self) -> PolygonCover:
+        """The same cover, checkpointed; worth it where it is costly to build."""
+        return PolygonCover(cut_lineage(self.frame), self.cell_deg, self.keep)
+
     def side(self) -> DataFrame:
         """The cover as a join side: broadcast when measured small, else shuffled
         (adaptive execution then splits hot cells)."""

@@ -74,17 +74,18 @@ def validate_batch(
     """Check a batch against imagery: one result row per firms_id.
 
     Order as in the checks themselves: no scenes around the date, only cloudy
-    scenes around the date, then the pixels of the nearest clear scenes. The
-    choice of scenes is checkpointed because the pixel work reads it three times.
+    scenes around the date, then the pixels of the nearest clear scenes. What
+    later steps read more than once is checkpointed: the batch, the choice of
+    scenes, and the burnt pixels, so that the pixel table is scanned once.
     """
-    checks = one_area_each(candidates)
+    checks = cut_lineage(one_area_each(candidates))
     used = areas.join(checks.select("area_id").distinct(), "area_id", "left_semi")
     days = imagery.scene_days(scenes, used, params)
     judged = cut_lineage(
         imagery.classify(checks, imagery.scene_choice(checks, days, params))
     )
     looks = imagery.looks_of(judged, params)
-    burnt = imagery.burnt_pixels(pixels, looks, params)
+    burnt = cut_lineage(imagery.burnt_pixels(pixels, looks, params))
     counts = imagery.burnt_counts(looks, burnt, buildings, params)
     threshold = params.burnt_pixel_count_threshold
     return (
