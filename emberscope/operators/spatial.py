@@ -89,20 +89,19 @@ def polygon_cover(
     polygons: DataFrame,
     keep: list[str],
     cell_deg: float = 0.1,
-    id_col: str | None = None,
-    small_edges: int = SMALL_POLYGON_EDGES,
+    small_edges: int | None = SMALL_POLYGON_EDGES,
 ) -> PolygonCover:
     """Cover of a polygon table (rings, xmin, ymin, xmax, ymax and ``keep``).
 
-    ``id_col`` names a content id (equal id means equal rings); with it polygons
-    of more than ``small_edges`` edges are cut up, without it all stay whole.
+    Polygons of more than ``small_edges`` edges are cut up. ``None`` keeps all
+    whole; use it for tables known to hold simple shapes only, as it leaves the
+    cut-up out of the plan.
     """
-    columns = list(keep) + ([id_col] if id_col and id_col not in keep else [])
     base = polygons.select(
-        *columns, "xmin", "ymin", "xmax", "ymax", g.ring_edges().alias("cov_edges")
+        *keep, "xmin", "ymin", "xmax", "ymax", g.ring_edges().alias("cov_edges")
     )
     boxes = [f"{c[4:]} AS {c}" for c in _BOX_COLUMNS]
-    small = base if id_col is None else base.filter(f"size(cov_edges) <= {small_edges}")
+    small = base if small_edges is None else base.filter(f"size(cov_edges) <= {small_edges}")
     cover = explode_cells(small, cell_deg).selectExpr(
         *keep,
         "cov_ix",
@@ -113,10 +112,12 @@ def polygon_cover(
         "cov_edges",
         *boxes,
     )
-    if id_col is not None:
-        large = base.filter(f"size(cov_edges) > {small_edges}")
+    if small_edges is not None:
+        large = base.filter(f"size(cov_edges) > {small_edges}").withColumn(
+            "cov_id", F.expr("md5(to_json(cov_edges))")
+        )
         cover = cover.unionByName(
-            _cut_up(large, keep, cell_deg, id_col).selectExpr(*keep, *_COVER_COLUMNS, *boxes)
+            _cut_up(large, keep, cell_deg, "cov_id").selectExpr(*keep, *_COVER_COLUMNS, *boxes)
         )
     return PolygonCover(cover, cell_deg, tuple(keep))
 
@@ -125,7 +126,7 @@ def _cut_up(large: DataFrame, keep: list[str], cell_deg: float, id_col: str) ->
     """Per cell: the edges passing through and the parity of the reference position."""
     s = f"{float(cell_deg)!r}D"
     ref_x, ref_y = f"((cov_ix + {_REF_SHARE_X}D) * {s})", f"((cov_iy + {_REF_SHARE_Y}D) * {s})"
-    # Equal ids are equal polygons: build each once, labels bring the copies back.
+    # Equal content is built once, the labels bring the copies back.
     unique = large.groupBy(id_col).agg(
         *[F.first(c).alias(c) for c in ("cov_edges", "xmin", "ymin", "xmax", "ymax")]
     )
@@ -181,7 +182,7 @@ def _cut_up(large: DataFrame, keep: list[str], cell_deg: float, id_col: str) ->
             "cov_ref_inside",
             f"coalesce(cov_edges, CAST(array() AS {EDGES})) AS cov_edges",
         )
-        .join(large.select(*dict.fromkeys([id_col, *keep])), id_col)
+        .join(large.select(id_col, *keep), id_col)
     )
 
 
@@ -257,9 +258,9 @@ def clip_to_union(
     points: DataFrame,
     polygons: DataFrame,
     cell_deg: float = 0.1,
-    id_col: str | None = None,
     lon: str = "lon",
     lat: str = "lat",
+    small_edges: int | None = SMALL_POLYGON_EDGES,
 ) -> DataFrame:
     """Points strictly inside the union of the polygons.
 
@@ -267,7 +268,7 @@ def clip_to_union(
     the edges that only one polygon has, which holds when neighbours share their
     border vertices; points on the outline are dropped.
     """
-    cover = polygon_cover(polygons, [], cell_deg, id_col)
+    cover = polygon_cover(polygons, [], cell_deg, small_edges)
     inside = points_in_polygons(points, cover, "left_semi", lon, lat)
     outline = (
         polygons.select(F.explode(g.ring_edges()).alias("e"))

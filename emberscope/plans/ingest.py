@@ -21,7 +21,6 @@ def ingest(
     country_id: str,
     strict: bool = False,
     cell_deg: float = 0.1,
-    admin_id: str | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """(raw detections inside the country, rejected records or None when strict)."""
     raw = src.scan_detections(spark, paths)
@@ -29,7 +28,7 @@ def ingest(
         valid, rejected = src.require_valid(raw), None
     else:
         valid, rejected = src.check_records(raw)
-    inside = clip_to_union(valid, admin, cell_deg, admin_id, "longitude", "latitude")
+    inside = clip_to_union(valid, admin, cell_deg, "longitude", "latitude")
     return src.to_raw_table(inside, country_id), rejected
 
 

@@ -80,10 +80,7 @@ def validate_batch(
     """
     checks = cut_lineage(one_area_each(candidates))
     used = areas.join(checks.select("area_id").distinct(), "area_id", "left_semi")
-    days = imagery.scene_days(scenes, used, params)
-    judged = cut_lineage(
-        imagery.classify(checks, imagery.scene_choice(checks, days, params))
-    )
+    judged = cut_lineage(imagery.judge(checks, used, scenes, params))
     looks = imagery.looks_of(judged, params)
     burnt = cut_lineage(imagery.burnt_pixels(pixels, looks, params))
     counts = imagery.burnt_counts(looks, burnt, buildings, params)

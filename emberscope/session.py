@@ -48,15 +48,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Measured: at most ``max_rows`` rows; reading stops there."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint only when the side is measured to be small.
 
     Beyond the bound the frame comes back unchanged and the join shuffles both
     sides, where adaptive execution splits skewed partitions.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 _shipped: set[str] = set()

@@ -7,10 +7,12 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberscope.session import cut_lineage
+
 DATE = "acq_date"
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
@@ -47,34 +49,20 @@ def lookback_start(end: datetime.date, days: int) -> datetime.date:
     return end - datetime.timedelta(days=days)
 
 
-class VersionedTable:
-    """Table kept as numbered folders ``v=0, v=1, ...`` under one path.
+def upsert_days(new: DataFrame, path: str, key: str, date: str = DATE) -> None:
+    """Upsert by key into a table stored by day, touching only the days of ``new``.
 
-    An upsert reads the last complete version and writes the next, so a failed
-    write leaves the readable version as it was.
+    A key keeps its date, so its old row can only be in a day that ``new`` has.
+    The rows to keep are cut off before their days are replaced.
     """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def version(self) -> int | None:
-        n = None
-        while _fs_exists(self.spark, f"{self.path}/v={0 if n is None else n + 1}/_SUCCESS"):
-            n = 0 if n is None else n + 1
-        return n
-
-    def read(self) -> DataFrame:
-        n = self.version()
-        if n is None:
-            raise FileNotFoundError(self.path)
-        return self.spark.read.parquet(f"{self.path}/v={n}")
-
-    def write(self, df: DataFrame) -> None:
-        n = self.version()
-        df.write.mode("overwrite").parquet(f"{self.path}/v={0 if n is None else n + 1}")
-
-    def upsert(self, new: DataFrame, key: str) -> None:
-        self.write(new if self.version() is None else merge_by_key(self.read(), new, key))
+    spark = new.sparkSession
+    merged = new
+    if path_exists(spark, path):
+        # A look-back window of days, so this side is a few hundred rows at most.
+        days = F.broadcast(new.select(date).distinct())
+        held = spark.read.schema(new.schema).parquet(path).join(days, date, "left_semi")
+        merged = cut_lineage(merge_by_key(held.select(*new.columns), new, key))
+    replace_days(merged, path, date)
 
 
 def table_names(spark: SparkSession, schema: str) -> list[str]:

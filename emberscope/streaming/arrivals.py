@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emberscope.session import cut_lineage
 from emberscope.sources import detections as src
-from emberscope.sources.tables import replace_days
+from emberscope.sources.tables import path_exists, replace_days
 
 
 def land_new_files(
@@ -36,13 +36,8 @@ def land_new_files(
         valid, _ = src.check_records(batch)
         new = src.to_raw_table(valid, country_id)
         session = batch.sparkSession
-        try:
+        if path_exists(session, table):
             held = session.read.schema(new.schema).parquet(table)
-        except Exception as missing:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            held = None
-        if held is not None:
             days = new.select("acq_date").distinct()
             same_days = held.join(days, "acq_date", "left_semi").select(*new.columns)
             # Cut off before the days it reads are replaced.

@@ -177,7 +177,7 @@ def validated(v: Views) -> DataFrame:
     """Three tries, latest result each, exclusion areas left out; checkpointed."""
     candidates = cut_lineage(_candidates(v))
     tries = val.validate_tries(candidates, lambda batch, n: _batch(v, batch, n), AS_OF)
-    exclude = polygon_cover(v.areas_exclude(), ["exclude_id"])
+    exclude = polygon_cover(v.areas_exclude(), ["exclude_id"], small_edges=None)
     positions = candidates.select("firms_id", "lon", "lat").distinct()
     return cut_lineage(val.combine_tries(tries, positions, exclude))
 
@@ -196,8 +196,7 @@ RESULT = ", ".join(val.RESULT_COLUMNS)
 )
 def scene_availability(v: Views) -> DataFrame:
     checks = v.in_areas().select("area_id", "acq_date").distinct()
-    days = imagery.scene_days(v.scenes(), v.areas(), PARAMS)
-    judged = imagery.classify(checks, imagery.scene_choice(checks, days, PARAMS))
+    judged = imagery.judge(checks, v.areas(), v.scenes(), PARAMS)
     return judged.selectExpr(
         "area_id",
         "acq_date",
@@ -216,8 +215,9 @@ def scene_availability(v: Views) -> DataFrame:
     "firstclear",
 )
 def first_clear_scenes(v: Views) -> DataFrame:
-    days = imagery.scene_days(v.scenes(), v.areas(), PARAMS)
-    return days.filter("clear_scene IS NOT NULL")
+    sets = imagery.footprint_sets(v.areas(), v.scenes(), PARAMS)
+    days = imagery.group_scene_days(sets, v.scenes(), PARAMS)
+    return days.filter("clear_scene IS NOT NULL").withColumnRenamed("scene_group", "area_id")
 
 
 @query(
@@ -251,8 +251,7 @@ def burnt_pixel_mask(v: Views) -> DataFrame:
 
 def _looks_and_burnt(v: Views) -> tuple[DataFrame, DataFrame]:
     checks = val.one_area_each(_candidates(v))
-    days = imagery.scene_days(v.scenes(), v.areas(), PARAMS)
-    judged = imagery.classify(checks, imagery.scene_choice(checks, days, PARAMS))
+    judged = imagery.judge(checks, v.areas(), v.scenes(), PARAMS)
     looks = cut_lineage(imagery.looks_of(judged, PARAMS))
     return looks, imagery.burnt_pixels(v.pixels(), looks, PARAMS)
 
@@ -277,8 +276,7 @@ def imagery_validation(v: Views) -> DataFrame:
 def burnt_regions(v: Views) -> DataFrame:
     """Regions of all burnt pixels of every scene pair in use."""
     checks = val.one_area_each(_candidates(v))
-    days = imagery.scene_days(v.scenes(), v.areas(), PARAMS)
-    judged = imagery.classify(checks, imagery.scene_choice(checks, days, PARAMS))
+    judged = imagery.judge(checks, v.areas(), v.scenes(), PARAMS)
     pairs = judged.filter("before_scene IS NOT NULL").select(*imagery.PAIR).distinct()
     # Whole scenes: one look per pair that spans the scene.
     footprints = v.scenes().selectExpr(

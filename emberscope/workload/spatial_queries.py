@@ -42,7 +42,7 @@ def detections_in_areas(v: Views) -> DataFrame:
 )
 def detections_in_split_areas(v: Views) -> DataFrame:
     """Same join with polygons cut into cells finer than themselves."""
-    cover = spatial.polygon_cover(v.areas(), ["area_id"], 0.02, "area_id", small_edges=3).stored()
+    cover = spatial.polygon_cover(v.areas(), ["area_id"], 0.02, small_edges=3).stored()
     hits = spatial.points_in_polygons(v.detections().select("firms_id", "lon", "lat"), cover)
     return hits.groupBy("area_id").agg(
         F.count("*").alias("n_detections"), F.sum("firms_id").alias("sum_ids")
@@ -58,7 +58,7 @@ def detections_in_split_areas(v: Views) -> DataFrame:
 )
 def detections_in_country(v: Views) -> DataFrame:
     points = v.detections().select("firms_id", "lon", "lat")
-    return spatial.clip_to_union(points, v.admin(2), cell_deg=0.5)
+    return spatial.clip_to_union(points, v.admin(2), cell_deg=0.5, small_edges=None)
 
 
 @query(
@@ -94,7 +94,7 @@ def detections_by_admin(v: Views) -> DataFrame:
     "hits",
 )
 def detections_outside_excluded(v: Views) -> DataFrame:
-    excluded = spatial.polygon_cover(v.areas_exclude(), ["exclude_id"])
+    excluded = spatial.polygon_cover(v.areas_exclude(), ["exclude_id"], small_edges=None)
     return spatial.outside_polygons(v.in_areas().select("firms_id", "lon", "lat"), excluded)
 
 
@@ -112,7 +112,7 @@ def detections_in_every_excluded(v: Views) -> DataFrame:
     band = v.admin(2).filter("ymin = 0").withColumn(
         "first", F.min("gadm_1").over(_everything())
     ).filter("gadm_1 = first")
-    cover = spatial.polygon_cover(band, ["gadm_2"])
+    cover = spatial.polygon_cover(band, ["gadm_2"], small_edges=None)
     points = v.detections().select("firms_id", "lon", "lat")
     return spatial.touching_every_polygon(points, band, cover, "firms_id")
 

@@ -196,11 +196,11 @@ class Views:
         return boxed.selectExpr("*", f"array({ring}) AS rings")
 
     def include_cover(self, keep: tuple[str, ...] = ("area_id",)) -> PolygonCover:
-        return polygon_cover(self.areas(), list(keep))
+        return polygon_cover(self.areas(), list(keep), small_edges=None)
 
     def admin_cover(self, level: int = 2) -> PolygonCover:
         names = ["country_id", "gadm_1", "gadm_2"][: level + 1]
-        return polygon_cover(self.admin(level), names)
+        return polygon_cover(self.admin(level), names, small_edges=None)
 
     def in_areas(self) -> DataFrame:
         """Detections with the areas they touch."""

@@ -28,7 +28,7 @@ HOLE = [(1, 1), (1, 3), (3, 3), (3, 1), (1, 1)]
 @pytest.mark.parametrize("cell", [0.3, 1.0, 10.0])
 def test_boundary_vertex_and_hole(spark, small_edges, cell):
     cover = spatial.polygon_cover(
-        polygons(spark, [("s", [SQUARE, HOLE])]), ["id"], cell, "id", small_edges
+        polygons(spark, [("s", [SQUARE, HOLE])]), ["id"], cell, small_edges
     )
     rows = [
         (0, 2), (4, 4), (0, 0), (2, 4),  # edge and vertices of the shell
@@ -65,7 +65,7 @@ def test_cut_up_polygons_equal_direct_test(spark):
     rows += [(round(rng.uniform(0.01, 0.2), 5), round(rng.uniform(0.01, 0.2), 5)) for _ in range(1500)]
     want = {(i, name) for i, (x, y) in enumerate(rows) for name, (ring,) in stars if _inside(x, y, ring)}
     for small_edges in (1000, 10):
-        cover = spatial.polygon_cover(polygons(spark, stars), ["id"], 0.25, "id", small_edges)
+        cover = spatial.polygon_cover(polygons(spark, stars), ["id"], 0.25, small_edges)
         got = {(r.pid, r.id) for r in spatial.points_in_polygons(points(spark, rows), cover).collect()}
         assert got == want
 
@@ -73,7 +73,7 @@ def test_cut_up_polygons_equal_direct_test(spark):
 def test_equal_polygons_keep_their_copies(spark):
     twice = polygons(spark, [("same", [SQUARE]), ("same", [SQUARE])])
     for small_edges in (64, 1):
-        cover = spatial.polygon_cover(twice, ["id"], 1.0, "id", small_edges)
+        cover = spatial.polygon_cover(twice, ["id"], 1.0, small_edges)
         assert spatial.points_in_polygons(points(spark, [(0.5, 0.5)]), cover).count() == 2
 
 

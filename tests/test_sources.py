@@ -161,14 +161,18 @@ def test_replaced_days_keep_the_others(spark, tmp_path):
     assert [r.v for r in tables.read_interval(spark, path, D(2024, 1, 1), D(2024, 1, 1)).collect()] == [1]
 
 
-def test_upsert_versions(spark, tmp_path):
-    table = tables.VersionedTable(spark, str(tmp_path / "r"))
-    with pytest.raises(FileNotFoundError):
-        table.read()
-    table.upsert(spark.createDataFrame([(1, "a"), (2, "a")], "k int, v string"), "k")
-    table.upsert(spark.createDataFrame([(2, "b"), (3, "b")], "k int, v string"), "k")
-    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "b"), (3, "b")]
-    assert table.version() == 1
+def test_upsert_touches_only_its_days(spark, tmp_path):
+    path = str(tmp_path / "r")
+    schema = "k int, v string, acq_date date"
+    rows = [(1, "a", D(2024, 1, 1)), (2, "a", D(2024, 1, 2)), (3, "a", D(2024, 1, 2))]
+    tables.upsert_days(spark.createDataFrame(rows, schema), path, "k")
+    before = {f: os.path.getmtime(f"{path}/acq_date=2024-01-01/{f}") for f in os.listdir(f"{path}/acq_date=2024-01-01")}
+    tables.upsert_days(spark.createDataFrame([(2, "b", D(2024, 1, 2)), (4, "b", D(2024, 1, 3))], schema), path, "k")
+    got = sorted((r.k, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "a"), (2, "b"), (3, "a"), (4, "b")]
+    after = {f: os.path.getmtime(f"{path}/acq_date=2024-01-01/{f}") for f in os.listdir(f"{path}/acq_date=2024-01-01")}
+    assert before == after
+    assert tables.lookback_start(D(2024, 3, 1), 60) == D(2024, 1, 1)
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
