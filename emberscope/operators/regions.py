@@ -56,8 +56,8 @@ def label_regions(burnt: DataFrame) -> DataFrame:
     """Runs with the region they belong to, named by its first run.
 
     Labels shrink to the smallest neighbour's label and then jump to the label of
-    their label, so long regions settle in a logarithmic number of rounds rather
-    than one per row. Rounds end when nothing changes.
+    their label, so a long region settles in far fewer rounds than it has rows.
+    Rounds end when nothing changes.
     """
     runs = cut_lineage(row_runs(burnt))
     edges = cut_lineage(_touching_runs(runs))

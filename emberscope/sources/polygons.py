@@ -13,7 +13,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from emberscope.functions import geometry as g
 from emberscope.schemas import AREA
-from emberscope.session import ship_package
+from emberscope.session import cut_lineage, ship_package
 
 GEOPACKAGE_SCHEMA_COLUMNS = "file_mtime double, wkb binary"
 
@@ -222,30 +222,60 @@ def save_polygons(polygons: DataFrame, path: str) -> None:
     polygons.write.mode("overwrite").parquet(path)
 
 
-def self_crossings(polygons: DataFrame, key: str) -> DataFrame:
+def self_crossings(
+    polygons: DataFrame, key: str, max_edges: int = 64, max_splits: int = 20
+) -> DataFrame:
     """Keys of polygons with two edges crossing away from their ends.
 
-    Edges meet through grid cells sized to the polygon and its edge count, so an
-    edge is compared with its neighbourhood only.
+    Edges meet through grid cells sized to the polygon and its edge count. A cell
+    with more than ``max_edges`` edges is split in four, again and again, so an
+    edge is compared with a short list even where a border is very detailed.
     """
-    edges = polygons.select(
+    cells = polygons.selectExpr(
         key,
-        F.posexplode(g.ring_edges()).alias("n", "e"),
-        F.expr(
-            "greatest(xmax - xmin, ymax - ymin) / sqrt(greatest(1, aggregate(rings, 0,"
-            " (s, r) -> s + size(r))))"
-        ).alias("step"),
+        "xmin",
+        "ymin",
+        "greatest(xmax - xmin, ymax - ymin) / pow(2D, ceil(log2(sqrt(greatest(1,"
+        " aggregate(rings, 0, (s, r) -> s + size(r))))))) AS step",
+        "rings",
     ).filter("step > 0D")
-    cells = edges.selectExpr(
-        "*",
-        "explode(sequence(CAST(floor(least(e.x1, e.x2) / step) AS BIGINT),"
-        " CAST(floor(greatest(e.x1, e.x2) / step) AS BIGINT))) AS ix",
-    ).selectExpr(
-        "*",
-        "explode(sequence(CAST(floor(least(e.y1, e.y2) / step) AS BIGINT),"
-        " CAST(floor(greatest(e.y1, e.y2) / step) AS BIGINT))) AS iy",
-    )
-    other = cells.select(key, "ix", "iy", F.col("n").alias("m"), F.col("e").alias("f"))
+    cells = cells.select(key, "xmin", "ymin", "step", F.posexplode(g.ring_edges()).alias("n", "e"))
+    for axis in ("x", "y"):
+        low, high = f"least(e.{axis}1, e.{axis}2)", f"greatest(e.{axis}1, e.{axis}2)"
+        cells = cells.selectExpr(
+            "*",
+            f"explode(sequence(CAST(floor(({low} - {axis}min) / step) AS BIGINT),"
+            f" CAST(floor(({high} - {axis}min) / step) AS BIGINT))) AS i{axis}",
+        )
+    cell = [key, "step", "ix", "iy"]
+    short = None
+    for depth in range(max_splits + 1):
+        crowded = (
+            cells.groupBy(*cell)
+            .agg(F.count("*").alias("n_edges"))
+            .filter(f"n_edges > {max_edges}")
+            .select(*cell)
+        )
+        last = depth == max_splits or crowded.limit(1).count() == 0
+        done = cells if last else cells.join(crowded, cell, "left_anti")
+        short = done if short is None else short.unionByName(done)
+        if last:
+            break
+        # A hair of slack keeps edges that run along the line between two parts.
+        box = [
+            f"({axis}min + ({i} + {side}) * step {sign} step * 1e-6D)"
+            for side, sign in (("0", "-"), ("1", "+"))
+            for axis, i in (("x", "ix"), ("y", "iy"))
+        ]
+        cells = cut_lineage(
+            cells.join(crowded, cell, "left_semi")
+            .selectExpr(key, "xmin", "ymin", "step / 2D AS step", "n", "e", "ix AS cx", "iy AS cy",
+                        "explode(array(0, 1, 2, 3)) AS part")
+            .selectExpr(key, "xmin", "ymin", "step", "n", "e", "cx * 2 + part % 2 AS ix",
+                        "cy * 2 + part DIV 2 AS iy")
+            .filter(g.edge_meets_box_sql("e", *box))
+        )
+    other = short.select(*cell, F.col("n").alias("m"), F.col("e").alias("f"))
 
     def turn(e: str, x: str, y: str) -> str:
         return f"sign(({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({e}.y2 - {e}.y1) * ({x} - {e}.x1))"
@@ -254,9 +284,7 @@ def self_crossings(polygons: DataFrame, key: str) -> DataFrame:
         f"{turn('e', 'f.x1', 'f.y1')} * {turn('e', 'f.x2', 'f.y2')} < 0"
         f" AND {turn('f', 'e.x1', 'e.y1')} * {turn('f', 'e.x2', 'e.y2')} < 0"
     )
-    return (
-        cells.join(other, [key, "ix", "iy"]).filter(f"n < m AND {crossing}").select(key).distinct()
-    )
+    return short.join(other, cell).filter(f"n < m AND {crossing}").select(key).distinct()
 
 
 def check_polygons(polygons: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -16,6 +16,8 @@ def duck():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     sql = entry.oracle_sql().get(name)
     if sql is None:
         assert df.columns

@@ -142,6 +142,35 @@ def test_polygon_checks(spark):
     assert [r.id for r in good.collect()] == ["ok"]
 
 
+def test_self_crossings_in_a_crowded_corner(spark):
+    from emberscope.functions import geometry as g
+
+    # A large box whose lower-left corner is replaced by a fine saw.
+    saw = [(0.001 * k / 300, 0.001 * (k % 2) / 300 + 0.001 * (300 - k) / 300) for k in range(301)]
+    clean = [*saw, (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), saw[0]]
+    bent = [*saw[:150], saw[152], saw[151], saw[150], *saw[153:], (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), saw[0]]
+    crossed = [*saw, (4.0, 4.0), (4.0, 0.0), (0.0, 4.0), saw[0]]
+    rows = [("clean", [clean]), ("bent", [bent]), ("crossed", [crossed])]
+    df = g.with_bounds(spark.createDataFrame(rows, "id string, rings array<array<struct<x:double,y:double>>>"))
+
+    def crosses(ring):
+        def turn(a, b, p):
+            v = (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])
+            return (v > 0) - (v < 0)
+
+        edges = list(zip(ring, ring[1:]))
+        return any(
+            turn(a, b, c) * turn(a, b, d) < 0 and turn(c, d, a) * turn(c, d, b) < 0
+            for i, (a, b) in enumerate(edges)
+            for c, d in edges[:i]
+        )
+
+    want = {name for name, (ring,) in rows if crosses(ring)}
+    assert want == {"bent", "crossed"}
+    for max_edges in (8, 64):
+        assert {r.id for r in polygons.self_crossings(df, "id", max_edges).collect()} == want
+
+
 def test_three_dimensional_wkb():
     ring = [(0.0, 0.0, 9.0), (1.0, 0.0, 9.0), (1.0, 1.0, 9.0), (0.0, 0.0, 9.0)]
     body = struct.pack("<I", 4) + b"".join(struct.pack("<3d", *p) for p in ring)
