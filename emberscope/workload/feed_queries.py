@@ -267,7 +267,7 @@ def json_round_trip(v: Views) -> DataFrame:
 
 
 @query(
-    "SNK3 SNK1",
+    "SNK3 SNK1 SRC11",
     "SELECT firms_id, acq_date, lon, lat, frp FROM det",
     "det",
 )
