@@ -163,20 +163,23 @@ def _candidates(v: Views) -> DataFrame:
     return val.to_validate(v.detections(), v.include_cover())
 
 
-def _batch(v: Views, candidates: DataFrame, try_no: int | None = None) -> DataFrame:
-    scenes = v.scenes()
-    if try_no is not None:
+def _tries(v: Views) -> tuple[DataFrame, list[DataFrame]]:
+    """Candidates and the results of three tries over stored input tables."""
+    candidates = cut_lineage(_candidates(v))
+    areas, scenes, pixels = (cut_lineage(t) for t in (v.areas(), v.scenes(), v.pixels()))
+    buildings = v.buildings()
+
+    def check(batch: DataFrame, try_no: int) -> DataFrame:
         # Scenes keep coming in: each try knows a further quarter of them.
-        scenes = scenes.filter(f"scene_id % 4 <= {try_no + 1}")
-    return val.validate_batch(
-        candidates, v.areas(), scenes, v.pixels(), v.buildings(), PARAMS
-    )
+        known = scenes.filter(f"scene_id % 4 <= {try_no + 1}")
+        return val.validate_batch(batch, areas, known, pixels, buildings, PARAMS)
+
+    return candidates, val.validate_tries(candidates, check, AS_OF)
 
 
 def validated(v: Views) -> DataFrame:
     """Three tries, latest result each, exclusion areas left out; checkpointed."""
-    candidates = cut_lineage(_candidates(v))
-    tries = val.validate_tries(candidates, lambda batch, n: _batch(v, batch, n), AS_OF)
+    candidates, tries = _tries(v)
     exclude = polygon_cover(v.areas_exclude(), ["exclude_id"], small_edges=None)
     positions = candidates.select("firms_id", "lon", "lat").distinct()
     return cut_lineage(val.combine_tries(tries, positions, exclude))
@@ -258,7 +261,9 @@ def _looks_and_burnt(v: Views) -> tuple[DataFrame, DataFrame]:
 
 @query("PIPE4 SRC14 SCL6 AGG11 AGG12 JOIN11 FLT7", f"SELECT {RESULT} FROM result", "result")
 def imagery_validation(v: Views) -> DataFrame:
-    return _batch(v, _candidates(v))
+    return val.validate_batch(
+        _candidates(v), v.areas(), v.scenes(), v.pixels(), v.buildings(), PARAMS
+    )
 
 
 @query(
@@ -293,9 +298,7 @@ def burnt_regions(v: Views) -> DataFrame:
     "latest",
 )
 def latest_results_of_three_tries(v: Views) -> DataFrame:
-    candidates = cut_lineage(_candidates(v))
-    tries = val.validate_tries(candidates, lambda batch, n: _batch(v, batch, n), AS_OF)
-    return val.latest_try(tries)
+    return val.latest_try(_tries(v)[1])
 
 
 @query(
