@@ -27,7 +27,6 @@ HEADLINE = [
     "scene_availability",
     "imagery_validation",
     "burnt_regions",
-    "validated_detections",
     "detection_mart",
     "event_mart",
     "detection_links",
