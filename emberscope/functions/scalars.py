@@ -43,7 +43,8 @@ def python_float_text(value: str) -> str:
     """SQL text of a double the way Python prints it.
 
     Both write the shortest digits; they differ in when the exponent starts and
-    in its form (1.0E-4 / 0.0001, 1.5E-5 / 1.5e-05, 1.0E7 / 10000000.0).
+    in its form (1.0E-4 / 0.0001, 1.5E-5 / 1.5e-05, 1.0E7 / 10000000.0). Java before
+    19 may add a digit to very large or small values, far outside coordinates.
     """
     text, size = f"CAST({value} AS STRING)", f"abs({value})"
     plain_digits = f"trim(TRAILING '0' FROM CAST(CAST({text} AS DECIMAL(38, 20)) AS STRING))"
