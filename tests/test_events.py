@@ -125,3 +125,28 @@ def test_numbers_are_dense_and_ordered(spark):
     assert ids == list(range(1, 901))
     per_day = number_rows_per_interval(df).groupBy("acq_date").agg({"id": "max", "*": "count"}).collect()
     assert all(r["max(id)"] == r["count(1)"] for r in per_day)
+
+
+def test_session_windows_on_a_stream(spark, tmp_path):
+    """Closed sessions of a stream equal the events of the batch rule."""
+    from emberscope.streaming.arrivals import session_events
+
+    days = [D(2024, 1, 1), D(2024, 1, 3), D(2024, 1, 6), D(2024, 3, 1)]
+    rows = [(i, "a", d) for i, d in enumerate(days)]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    df = spark.createDataFrame(rows, "firms_id int, area_id string, acq_date date")
+    df.write.parquet(source)
+    stream = spark.readStream.schema(df.schema).parquet(source)
+    query = (
+        session_events(stream, watermark="1 day")
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", str(tmp_path / "progress"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    got = sorted((r.start_date, r.end_date, r.event_count) for r in spark.read.parquet(out).collect())
+    assert got == [(days[0], days[1], 2), (days[2], days[2], 1)]
+    batch = session_events(df).count()
+    assert batch == 3
