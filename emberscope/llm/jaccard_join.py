@@ -15,7 +15,7 @@ components, pairs across components are verified. A signature shared by more tha
 components says little, such as one made of a common passage: its sets are left over.
 Left-over sets (and those below ``SMALL`` shingles) meet by prefixes: their shingles are
 ordered by how many left-over sets have them, rarest first, and similar sets share one of
-the first ``n - ceil(0.8 n) + 1``. A pair that the first way misses has both its sets left
+the first ``n - ceil(0.8 n) + 1``. Shingles of one set only come first and need no row. A pair that the first way misses has both its sets left
 over, so no link is lost and nothing is capped. Every candidate is verified on its texts.
 
 Shingles are compared by 64-bit hash. Null and empty texts have no shingles and no links.
@@ -42,7 +42,7 @@ from emberscope.session import broadcast_if_small, ship_package
 
 # Least size in the partition join; similar sets of a smaller one have up to SMALL_PARTNER.
 SMALL, SMALL_PARTNER = 24, 28
-HOT = 32
+HOT = 4
 MEMBERS_TOGETHER = 2_000
 
 _U = np.uint64
@@ -86,18 +86,33 @@ def signatures(tokens: np.ndarray, mixed: np.ndarray, band: int) -> tuple[np.nda
     return np.concatenate(out), int((pair.sum(1) <= 1).sum()) > spare
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Counts of the set by leading bits of the hash, about two to a bucket, up to 255 each."""
+    bits = max(5, (len(tokens) // 2).bit_length())
+    counts = np.bincount((tokens >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def can_be_similar(a: np.ndarray, b: np.ndarray, n: int) -> bool:
+    """Whether two sets of ``n`` shingles together may differ by a ninth of them at most."""
+    buckets = min(len(a), len(b))
+    x, y = a.reshape(buckets, -1).sum(1, dtype=np.int64), b.reshape(buckets, -1).sum(1, dtype=np.int64)
+    return 9 * int(np.abs(x - y).sum()) <= n
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     edges = np.array(bands())
     for batch in batches:
         rows = batch.column(0)
         texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
-        n, first, second, rest, counts, made = [], [], [], [], [], []
+        n, first, second, rest, counts, made, sketches = [], [], [], [], [], [], []
         for tokens in shingle_sets(texts):
             digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
             n.append(len(tokens))
             first.append(int.from_bytes(digest[:8], "little", signed=True))
             second.append(int.from_bytes(digest[8:], "little", signed=True))
             left, count = 0 < len(tokens) <= SMALL_PARTNER, 0
+            sketches.append(sketch(tokens))
             if len(tokens) >= SMALL:
                 mixed = mix(tokens + _U(0x2545F4914F6CDD1D))
                 own = int(np.searchsorted(edges, len(tokens), "right")) - 1
@@ -118,8 +133,9 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 pa.array(second, pa.int64()),
                 pa.array(rest, pa.bool_()),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                pa.array(sketches, pa.binary()),
             ],
-            names=["id", "n", "d1", "d2", "rest", "sigs"],
+            names=["id", "n", "d1", "d2", "rest", "sigs", "sketch"],
         )
 
 
@@ -147,51 +163,69 @@ def stars(entries: DataFrame) -> DataFrame:
     return ordered.mapInArrow(_stars, "sig long, pivot long, id long")
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links among (pivot, group, member?, id, text) rows, each pivot's own row first."""
-    pivot, held = None, np.zeros(0, np.uint64)
+def _pairs_of(batches: Iterator[pa.RecordBatch], read, similar) -> Iterator[pa.RecordBatch]:
+    """Pairs that pass, among (pivot, group, member?, id, n, payload) rows, each pivot's own row first."""
+    pivot, size, held = None, 0, None
     for batch in batches:
-        pivots, members, ids = (batch.column(i).to_pylist() for i in (0, 2, 3))
-        texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(4).to_pylist()]
+        columns = [batch.column(i).to_pylist() for i in (0, 2, 3, 4)]
         a, b = [], []
-        for p, member, i, own in zip(pivots, members, ids, shingle_sets(texts)):
+        for p, member, i, n, own in zip(*columns, read(batch.column(5).to_pylist())):
             if not member:
-                pivot, held = p, own
-            elif pivot == p:
-                both = len(held) + len(own) - len(np.union1d(held, own))
-                if both and 100 * both >= 80 * (len(held) + len(own) - both):
-                    a.append(p)
-                    b.append(i)
+                pivot, size, held = p, n, own
+            elif pivot == p and similar(held, own, size + n):
+                a.append(p)
+                b.append(i)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def verify(pairs: DataFrame, rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar, by their texts.
+def _filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _pairs_of(batches, lambda raw: (np.frombuffer(r, np.uint8) for r in raw), can_be_similar)
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def similar(a: np.ndarray, b: np.ndarray, _: int) -> bool:
+        both = len(a) + len(b) - len(np.union1d(a, b))
+        return both > 0 and 100 * both >= 80 * (len(a) + len(b) - both)
+
+    return _pairs_of(batches, lambda raw: shingle_sets([t.encode("utf-8", "surrogatepass") for t in raw]), similar)
+
+
+def _by_pivot(pairs: DataFrame, payload: DataFrame, judge) -> DataFrame:
+    """The pairs (a, b) that ``judge`` passes on the payload (id, n, x) of both.
 
-    Members travel to their ``a``, whose own text is sent once for each few members and
-    kept while they stream by. Only texts of pairs that sizes allow are read out.
+    Members travel to their ``a``, whose own payload is sent once for each few members and
+    kept while they stream by.
     """
-    one, two = (sizes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
-    possible = stored(
-        pairs.join(one, "a").join(two, "b").filter("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)").select("a", "b"), "pairs"
-    )
-    needed = stored(
-        possible.select(F.col("a").alias("id")).unionByName(possible.select(F.col("b").alias("id"))).distinct(), "needed"
-    )
-    texts = stored(rows.join(broadcast_if_small(needed), "id"), "texts")
-    groups = possible.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_TOGETHER).cast("int").alias("groups"))
-    heads = (
-        groups.join(texts.withColumnRenamed("id", "a"), "a")
-        .select("a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), F.lit(False).alias("member"), F.col("a").alias("id"), "text")
-    )
+    groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_TOGETHER).cast("int").alias("groups"))
+    heads = groups.join(payload.withColumnRenamed("id", "a"), "a").select(
+        "a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), F.lit(False).alias("member"),
+        F.col("a").alias("id"), "n", "x",
+    )
     members = (
-        possible.join(groups, "a")
+        pairs.join(groups, "a")
         .select("a", F.expr("int(pmod(xxhash64(b), groups))").alias("salt"), F.lit(True).alias("member"), F.col("b").alias("id"))
-        .join(texts, "id")
-        .select("a", "salt", "member", "id", "text")
+        .join(payload, "id")
+        .select("a", "salt", "member", "id", "n", "x")
     )
     ordered = heads.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
-    return ordered.mapInArrow(_verified, "a long, b long")
+    return ordered.mapInArrow(judge, "a long, b long")
+
+
+def _part(pairs: DataFrame, table: DataFrame, label: str) -> DataFrame:
+    """The rows of ``table`` whose id is in some pair."""
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    return stored(table.join(broadcast_if_small(stored(ids, "needed")), "id"), label)
+
+
+def verify(pairs: DataFrame, rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are similar: by size, then by bucket counts, then by their texts."""
+    one, two = (sizes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+    sized = pairs.join(one, "a").join(two, "b").filter("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)").select("a", "b")
+    sized = stored(sized, "sized")
+    counts = _part(sized, sizes.withColumnRenamed("sketch", "x"), "counts")
+    possible = stored(_by_pivot(sized, counts, _filtered), "possible")
+    texts = _part(possible, rows.select("id", F.lit(0).cast("long").alias("n"), F.col("text").alias("x")), "texts")
+    return _by_pivot(possible, texts, _verified)
 
 
 def _labelled(df: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
@@ -239,12 +273,21 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def prefixes(texts: DataFrame) -> DataFrame:
     """(sig, id): the rarest shingles of each text that a similar set must share one of."""
     tokens = stored(texts.select("id", "text").mapInArrow(_tokens, "id long, tokens array<long>"), "tokens")
-    flat = tokens.select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("sig"))
-    often = flat.groupBy("sig").agg(F.count("*").alias("often")).filter("often > 1")
-    ranked = flat.join(often, "sig", "left").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("often", F.lit(1)), "sig"))
+    star = stored(stars(tokens.select(F.explode("tokens").alias("sig"), "id")), "shared")
+    shared = star.select("sig", F.col("pivot").alias("id")).distinct().unionByName(star.select("sig", "id"))
+    often = star.groupBy("sig").agg(F.count("*").alias("often"))
+    sizes = tokens.select("id", F.size("tokens").alias("n"))
+    common = shared.groupBy("id").agg(F.count("*").alias("common"))
+    room = (
+        sizes.join(common, "id")
+        .withColumn("room", F.expr("n - ceil(0.8D * n - 1e-9D) + 1 - (n - common)"))
+        .filter("room > 0")
+        .select("id", "room")
+    )
+    ranked = shared.join(room, "id").join(often, "sig").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("id").orderBy("often", "sig"))
     )
-    return ranked.filter("often is not null and rank <= n - ceil(0.8D * n - 1e-9D) + 1").select("sig", "id")
+    return ranked.filter("rank <= room").select("sig", "id")
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -262,9 +305,9 @@ def link_documents(docs: DataFrame) -> DataFrame:
         kept = stored(docs.select("doc_id", text_of().alias("text"), F.monotonically_increasing_id().alias("id")), "rows")
         rows = kept.select("id", "text")
     table = stored(
-        rows.mapInArrow(_fingerprints, "id long, n long, d1 long, d2 long, rest boolean, sigs array<long>"), "sets"
+        rows.mapInArrow(_fingerprints, "id long, n long, d1 long, d2 long, rest boolean, sigs array<long>, sketch binary"), "sets"
     )
-    sizes = table.select("id", "n")
+    sizes = table.select("id", "n", "sketch")
     worded = table.filter("n > 0")
     firsts = stored(worded.groupBy("d1", "d2").agg(F.min("id").alias("a"), F.count("*").alias("times")).filter("times > 1"), "equal")
     equal = stored(
@@ -280,7 +323,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     rest_rows = stored(rows.join(broadcast_if_small(over), "id"), "rest")
     links, _ = resolve(prefixes(rest_rows), links, rest_rows, sizes, none.select(F.col("a").alias("id")), None)
     labels = components(links.unionByName(equal))
-    out = _labelled(sizes, labels, "id", "component")
+    out = _labelled(table.select("id", "n"), labels, "id", "component")
     if plain:
         return out.select(F.col("id").cast(kind).alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").cast(kind).alias("component_id"))
     named = stored(out.join(kept.select("id", "doc_id"), "id"), "named")
