@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 
 from emberscope.llm.pretokens import library_encoder
 from emberscope.llm.storage import text_of
-from emberscope.session import ship_package
+from emberscope.session import broadcast_if_small, ship_package
 
 # Characters of text in a shard, ids in a block; a longer document is a block by itself.
 SHARD_CHARS = 24_000_000
-BLOCK_IDS = 1_000_000
+BLOCK_IDS = 250_000
 
 BLOCK = (
     "shard int, block int, before long, n_ids long, first_key string, last_key string, keys array<string>,"
@@ -167,16 +167,21 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
 
 
 def blocks(spark: SparkSession, path: str) -> DataFrame:
-    """The blocks, each with ``start``, the ids of all blocks before it."""
+    """The blocks, each with ``start``, the ids of all blocks before it.
+
+    Two numbers a shard are broadcast as long as the shards are measured to be few, so
+    blocks are not moved.
+    """
     table = spark.read.schema(BLOCK).parquet(path)
     totals = table.groupBy("shard").agg(F.sum("n_ids").alias("_n"))
     base = totals.select("shard", (F.sum("_n").over(Window.orderBy("shard")) - F.col("_n")).alias("_base"))
-    return table.join(base, "shard").withColumn("start", F.col("_base") + F.col("before")).drop("_base")
+    return table.join(broadcast_if_small(base), "shard").withColumn("start", F.col("_base") + F.col("before")).drop("_base")
 
 
 def _answers(batches: Iterator[pa.RecordBatch], wanted: str, key_type: pa.DataType, keep_ids: bool):
     for batch in batches:
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
             block = Block(row)
             found = [(k, s, n) for k in row[wanted] for s, n in block.find(k)]
             raw = [block.payload(s, n) for _, s, n in found]
