@@ -129,8 +129,9 @@ def scan_versions(
     done = ledger.filter(F.col("rule_version") == rule_version).select("blob")
     unseen = (
         texts.groupBy(blob_of(F.col("text")).alias("blob"), "text").agg(F.count("*").alias("n"))
-        .select("blob", "text")
         .join(done, "blob", "left_anti")
+        # Needs the count, so that no filter on findings is moved before the grouping.
+        .select("blob", F.when(F.col("n") > 0, F.col("text")).alias("text"))
     )
     fresh = stored(scan_blobs(unseen, rules, rule_version), "findings")
     findings = known.unionByName(fresh)
