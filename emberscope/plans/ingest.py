@@ -11,7 +11,7 @@ from emberscope.functions.scalars import stable_detection_id
 from emberscope.operators.numbering import number_rows_per_interval
 from emberscope.operators.spatial import clip_to_union
 from emberscope.sources import detections as src
-from emberscope.sources.tables import replace_days
+from emberscope.sources.tables import replace_days, replace_interval
 
 
 def ingest(
@@ -56,7 +56,24 @@ def detection_table(
     return numbered.select("id", "acq_date", "lon", "lat")
 
 
-def load_days(spark: SparkSession, paths, admin: DataFrame, country_id: str, table: str) -> None:
-    """Ingest files and replace their days in the raw table."""
-    raw, _ = ingest(spark, paths, admin, country_id)
-    replace_days(raw, table)
+def load_days(
+    spark: SparkSession,
+    paths,
+    admin: DataFrame,
+    country_id: str,
+    table: str,
+    interval: tuple[datetime.date, datetime.date] | None = None,
+    strict: bool = False,
+) -> None:
+    """Ingest files and replace their days in the raw table.
+
+    With an interval, its days without records are emptied as well. Rejected
+    records are added to ``<table>-rejected`` unless ``strict``, which fails on them.
+    """
+    raw, rejected = ingest(spark, paths, admin, country_id, strict)
+    if rejected is not None:
+        rejected.write.mode("append").parquet(f"{table}-rejected")
+    if interval:
+        replace_interval(raw, table, *interval)
+    else:
+        replace_days(raw, table)

@@ -28,19 +28,21 @@ def _text_fields():
     return T.StructType([T.StructField(f.name, T.StringType()) for f in DETECTION_FEED.fields])
 
 
+def csv_options(reader):
+    """Header checks shared by the batch scan and the stream.
+
+    The header must list the feed's columns in order; a file in another order is
+    an error when read, never read by position.
+    """
+    return reader.schema(_text_fields()).option("header", True).option("enforceSchema", False)
+
+
 def scan_detections(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Raw text fields of all files (one per satellite and day) as one frame.
 
-    Columns are taken by header name; a file whose header does not carry the
-    feed's columns is an error when read.
+    A file whose header is not the feed's is an error when read.
     """
-    return (
-        spark.read.schema(_text_fields())
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .csv(paths)
-    )
+    return csv_options(spark.read).option("mode", "PERMISSIVE").csv(paths)
 
 
 def one_constellation(frames: list[DataFrame]) -> DataFrame:

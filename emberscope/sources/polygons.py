@@ -180,10 +180,14 @@ def read_geopackage(
 
 
 def single_polygons(features: DataFrame, wkb: str = "wkb") -> DataFrame:
-    """One row per part of each (multi)polygon: other columns, rings and box."""
+    """One row per part of each (multi)polygon: other columns, rings and box.
+
+    A geometry that is null or cannot be decoded keeps a row without rings, which
+    :func:`check_polygons` rejects.
+    """
     ship_package(features.sparkSession)
     rest = [c for c in features.columns if c != wkb]
-    parts = features.select(*rest, F.explode(decode_wkb(wkb)).alias("rings"))
+    parts = features.select(*rest, F.explode_outer(decode_wkb(wkb)).alias("rings"))
     return g.with_bounds(parts)
 
 
@@ -197,9 +201,21 @@ def area_polygons(spark: SparkSession, path: str | None, layer: str = "areas") -
     """Include or exclude areas; no path means no areas."""
     if path is None:
         return spark.createDataFrame([], AREA)
-    features = read_geopackage(spark, path, layer)
-    valid, _ = check_polygons(single_polygons(features))
-    return with_content_id(valid).select("id", "rings", "xmin", "ymin", "xmax", "ymax", "file_mtime")
+    usable, _ = checked_areas(read_geopackage(spark, path, layer))
+    return usable.select("id", "rings", "xmin", "ymin", "xmax", "ymax", "file_mtime")
+
+
+def checked_areas(features: DataFrame, wkb: str = "wkb") -> tuple[DataFrame, DataFrame]:
+    """(usable polygons with their content id, rejected ones with a ``problem``).
+
+    Takes any table with a WKB column. Together the two hold every part of every
+    feature; polygons that cross themselves are rejected as well.
+    """
+    valid, rejected = check_polygons(single_polygons(features, wkb))
+    valid = cut_lineage(with_content_id(valid))
+    crossing = cut_lineage(self_crossings(valid, "id"))
+    crossed = valid.join(crossing, "id", "left_semi").drop("id").withColumn("problem", F.lit("crosses itself"))
+    return valid.join(crossing, "id", "left_anti"), rejected.unionByName(crossed)
 
 
 def admin_polygons(spark: SparkSession, path: str, level: int) -> DataFrame:

@@ -33,6 +33,38 @@ def replace_days(df: DataFrame, path: str, date: str = DATE) -> None:
     )
 
 
+def replace_interval(
+    df: DataFrame, path: str, start: datetime.date, end: datetime.date, date: str = DATE
+) -> None:
+    """Replace the closed interval: days without new rows are emptied, others stay.
+
+    ``df`` must not read the table. The driver lists the days of the interval only.
+    """
+    spark = df.sparkSession
+    new = cut_lineage(df.filter(F.col(date).between(F.lit(start), F.lit(end))))
+    filled = {r[0] for r in new.select(date).distinct().collect()}
+    if filled:
+        replace_days(new, path, date)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for n in range((end - start).days + 1):
+        day = start + datetime.timedelta(days=n)
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{date}={day.isoformat()}")
+        fs = folder.getFileSystem(conf)
+        if day not in filled and fs.exists(folder):
+            fs.delete(folder, True)
+
+
+def held_days(new: DataFrame, path: str, date: str = DATE) -> DataFrame:
+    """What the table holds of the days of ``new``; other partitions are not listed.
+
+    The first and last day are literals, so they prune; the days between that ``new``
+    lacks go by the join.
+    """
+    first, last = new.agg(F.min(date), F.max(date)).first()
+    days = new.select(date).distinct()
+    return read_interval(new.sparkSession, path, first, last, date).join(days, date, "left_semi")
+
+
 def read_interval(
     spark: SparkSession, path: str, start: datetime.date, end: datetime.date, date: str = DATE
 ) -> DataFrame:
@@ -58,9 +90,8 @@ def upsert_days(new: DataFrame, path: str, key: str, date: str = DATE) -> None:
     spark = new.sparkSession
     merged = new
     if path_exists(spark, path):
-        # A look-back window of days, so this side is a few hundred rows at most.
-        days = F.broadcast(new.select(date).distinct())
-        held = spark.read.schema(new.schema).parquet(path).join(days, date, "left_semi")
+        new = cut_lineage(new)
+        held = held_days(new, path, date)
         merged = cut_lineage(merge_by_key(held.select(*new.columns), new, key))
     replace_days(merged, path, date)
 

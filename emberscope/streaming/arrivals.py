@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberscope.operators.spatial import clip_to_union
 from emberscope.session import cut_lineage
 from emberscope.sources import detections as src
-from emberscope.sources.tables import path_exists, replace_days
+from emberscope.sources.tables import held_days, path_exists, replace_days
 
 
 def land_new_files(
@@ -17,29 +18,31 @@ def land_new_files(
     checkpoint: str,
     country_id: str,
     max_files_per_trigger: int | None = None,
+    admin: DataFrame | None = None,
+    cell_deg: float = 0.1,
 ) -> None:
     """Take every file not seen yet, then stop; one call per day of operation.
 
     A batch is merged per day with what the table holds of that day, so files of
     several satellites may arrive apart, and a batch run again after a failure
-    leaves the same rows.
+    leaves the same rows. With ``admin`` only detections inside the country are
+    kept. Rejected records go to ``<table>-rejected``, one folder per batch.
     """
     reader = (
-        spark.readStream.schema(src._text_fields())
-        .option("header", True)
-        .option("recursiveFileLookup", True)
+        src.csv_options(spark.readStream).option("recursiveFileLookup", True)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
-    def store(batch: DataFrame, _batch_id: int) -> None:
-        valid, _ = src.check_records(batch)
+    def store(batch: DataFrame, batch_id: int) -> None:
+        valid, rejected = src.check_records(batch)
+        rejected.write.mode("overwrite").parquet(f"{table}-rejected/batch={batch_id}")
+        if admin is not None:
+            valid = clip_to_union(valid, admin, cell_deg, "longitude", "latitude")
         new = src.to_raw_table(valid, country_id)
-        session = batch.sparkSession
-        if path_exists(session, table):
-            held = session.read.schema(new.schema).parquet(table)
-            days = new.select("acq_date").distinct()
-            same_days = held.join(days, "acq_date", "left_semi").select(*new.columns)
+        if path_exists(batch.sparkSession, table):
+            new = cut_lineage(new)
+            same_days = held_days(new, table).select(*new.columns)
             # Cut off before the days it reads are replaced.
             new = cut_lineage(same_days.exceptAll(new).unionByName(new))
         replace_days(new, table)

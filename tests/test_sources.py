@@ -190,6 +190,39 @@ def test_replaced_days_keep_the_others(spark, tmp_path):
     assert [r.v for r in tables.read_interval(spark, path, D(2024, 1, 1), D(2024, 1, 1)).collect()] == [1]
 
 
+def test_replaced_interval_empties_days_without_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "v int, acq_date date"
+    tables.replace_days(spark.createDataFrame([(n, D(2024, 1, n)) for n in (1, 2, 3)], schema), path)
+    new = spark.createDataFrame([(9, D(2024, 1, 2)), (7, D(2024, 1, 5))], schema)
+    tables.replace_interval(new, path, D(2024, 1, 1), D(2024, 1, 2))
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [3, 9]
+    held = tables.held_days(spark.createDataFrame([(0, D(2024, 1, 3))], schema), path)
+    assert "PartitionFilters: [isnotnull(acq_date" in held._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stream_checks_header_and_keeps_rejects(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    args = (spark, str(landing), str(tmp_path / "table"), str(tmp_path / "progress"), "SDN")
+    feed(landing, "n.csv", line(1, 2), line(1, 2, time="bad"))
+    land_new_files(*args)
+    rejected = spark.read.parquet(str(tmp_path / "table-rejected")).collect()
+    assert [list(r.problems) for r in rejected] == [["acq_time"]]
+    text = (landing / "n.csv").read_text().replace("latitude,longitude", "longitude,latitude", 1)
+    (landing / "swapped.csv").write_text(text)
+    with pytest.raises(Exception, match="(?i)header"):
+        land_new_files(*args)
+
+
+def test_undecodable_and_crossing_areas_are_rejected(spark):
+    bow = [(0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 3.0), (0.0, 0.0)]
+    rows = [(1, bytearray(wkb([SQUARE]))), (2, bytearray(b"junk")), (3, None), (4, bytearray(wkb([bow])))]
+    usable, rejected = polygons.checked_areas(spark.createDataFrame(rows, "k int, wkb binary"))
+    assert [r.k for r in usable.collect()] == [1]
+    assert sorted((r.k, r.problem) for r in rejected.collect()) == [(2, "empty"), (3, "empty"), (4, "crosses itself")]
+
+
 def test_upsert_touches_only_its_days(spark, tmp_path):
     path = str(tmp_path / "r")
     schema = "k int, v string, acq_date date"
