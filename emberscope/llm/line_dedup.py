@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberscope.llm.storage import stored, text_of
+from emberscope.session import broadcast_if_small
 
 RUN = 3
 _WORD = r"[^\\x20\\x09-\\x0D]"
@@ -74,17 +75,20 @@ def repeated_windows(rows: DataFrame, run: int = RUN) -> DataFrame:
 def drop_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     """``docs`` with repeated runs cut from ``text``, and ``n_lines``, ``n_removed``.
 
-    Only documents with a repeat are taken apart into lines and put together again.
+    Only documents with a repeat are taken apart into lines and put together again; as
+    long as they are measured to be few, no other text is moved. Rows are numbered by
+    ``monotonically_increasing_id()``, so ``docs`` should be a stored table.
     """
     docs = docs.drop("n_lines", "n_removed")
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
     texts = rows.select("_row", order.alias("_order"), text_of().alias("_text"))
     repeats = stored(repeated_windows(texts, run), "repeats")
     gone = repeats.select("_row", F.explode(F.sequence(F.col("at"), F.col("at") + run - 1)).alias("_line")).distinct()
-    touched = texts.join(repeats.select("_row").distinct(), "_row", "left_semi")
+    touched = broadcast_if_small(stored(repeats.select("_row").distinct(), "touched"))
     exploded = (
-        touched.select("_row", F.posexplode(F.split("_text", "\n", -1)).alias("_place", "_string"))
+        texts.join(touched, "_row", "left_semi")
+        .select("_row", F.posexplode(F.split("_text", "\n", -1)).alias("_place", "_string"))
         .withColumn("_full", F.expr(rf"_string rlike '{_WORD}'"))
     )
     numbered = exploded.withColumn(
@@ -95,15 +99,15 @@ def drop_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
         F.array_join(
             F.expr("transform(sort_array(collect_list(if(_gone is null, struct(_place, _string), null))), x -> x._string)"),
             "\n",
-        ).alias("_cut"),
-        F.count("_gone").alias("_removed"),
+        ).alias("text"),
+        F.count("_line").alias("n_lines"),
+        F.count("_gone").alias("n_removed"),
     )
     count = F.expr(rf"size(filter(split(coalesce(cast(text as string), ''), '\n', -1), x -> x rlike '{_WORD}'))")
-    out = rows.withColumn("n_lines", count.cast("long")).join(cut, "_row", "left")
     others = [c for c in docs.columns if c != "text"]
-    return out.select(
-        *others,
-        F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.col("_cut")).alias("text"),
-        "n_lines",
-        F.coalesce("_removed", F.lit(0)).cast("long").alias("n_removed"),
+    columns = [*others, "text", "n_lines", "n_removed"]
+    whole = rows.join(touched, "_row", "left_anti").withColumns(
+        {"n_lines": count.cast("long"), "n_removed": F.lit(0).cast("long")}
     )
+    changed = rows.select("_row", *others).join(touched, "_row", "left_semi").join(cut, "_row")
+    return whole.select(*columns).unionByName(changed.select(*columns))
