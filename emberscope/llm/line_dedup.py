@@ -75,8 +75,8 @@ def repeated_windows(rows: DataFrame, run: int = RUN) -> DataFrame:
 def drop_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     """``docs`` with repeated runs cut from ``text``, and ``n_lines``, ``n_removed``.
 
-    Only documents with a repeat are taken apart into lines and put together again; as
-    long as they are measured to be few, no other text is moved. Rows are numbered by
+    Only the numbers of deleted lines are gathered, per document, and joined to the texts
+    they belong to; as long as those are measured to be few, no other text is moved. Rows are numbered by
     ``monotonically_increasing_id()``, so ``docs`` should be a stored table.
     """
     docs = docs.drop("n_lines", "n_removed")
@@ -86,22 +86,22 @@ def drop_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     repeats = stored(repeated_windows(texts, run), "repeats")
     gone = repeats.select("_row", F.explode(F.sequence(F.col("at"), F.col("at") + run - 1)).alias("_line")).distinct()
     touched = broadcast_if_small(stored(repeats.select("_row").distinct(), "touched"))
-    exploded = (
+    cuts = gone.groupBy("_row").agg(F.collect_list("_line").alias("_gone"))
+    full = rf"filter(transform(_strings, (x, k) -> if(x rlike '{_WORD}', k, null)), k -> k is not null)"
+    cut = (
         texts.join(touched, "_row", "left_semi")
-        .select("_row", F.posexplode(F.split("_text", "\n", -1)).alias("_place", "_string"))
-        .withColumn("_full", F.expr(rf"_string rlike '{_WORD}'"))
-    )
-    numbered = exploded.withColumn(
-        "_line", F.expr("if(_full, int(sum(int(_full)) over (partition by _row order by _place)) - 1, null)")
-    )
-    kept = numbered.join(gone.withColumn("_gone", F.lit(True)), ["_row", "_line"], "left")
-    cut = kept.groupBy("_row").agg(
-        F.array_join(
-            F.expr("transform(sort_array(collect_list(if(_gone is null, struct(_place, _string), null))), x -> x._string)"),
-            "\n",
-        ).alias("text"),
-        F.count("_line").alias("n_lines"),
-        F.count("_gone").alias("n_removed"),
+        .join(cuts, "_row")
+        .select("_row", "_gone", F.split("_text", "\n", -1).alias("_strings"))
+        .select("_row", "_gone", "_strings", F.expr(full).alias("_places"))
+        .select(
+            "_row",
+            F.expr(
+                "array_join(transform(array_except(sequence(0, size(_strings) - 1),"
+                " transform(_gone, g -> get(_places, g))), k -> get(_strings, k)), '\n')"
+            ).alias("text"),
+            F.size("_places").cast("long").alias("n_lines"),
+            F.size("_gone").cast("long").alias("n_removed"),
+        )
     )
     count = F.expr(rf"size(filter(split(coalesce(cast(text as string), ''), '\n', -1), x -> x rlike '{_WORD}'))")
     others = [c for c in docs.columns if c != "text"]
