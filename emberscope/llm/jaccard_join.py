@@ -15,8 +15,13 @@ components, pairs across components are verified. A signature shared by more tha
 components says little, such as one made of a common passage: its sets are left over.
 Left-over sets (and those below ``SMALL`` shingles) meet by prefixes: their shingles are
 ordered by how many left-over sets have them, rarest first, and similar sets share one of
-the first ``n - ceil(0.8 n) + 1``. Shingles of one set only come first and need no row. A pair that the first way misses has both its sets left
-over, so no link is lost and nothing is capped. Every candidate is verified on its texts.
+the first ``n - ceil(0.8 n) + 1``. Shingles of one set only come first and need no row. The place
+``r`` of a shingle also bounds the partner: where it is the first one shared, the sets have
+``n - r + 1`` shingles in common at most, so the partner has ``(9 (n - r + 1) - 4 n) / 4`` at
+most. Across components, sets meet by signature and by sizes that so reach each other;
+copies with edits of their own in one text, whose rare shingles are theirs alone, do not.
+A pair that the first way misses has both its sets left over, so no link is lost and
+nothing is capped. Every candidate is verified on its texts.
 
 Shingles are compared by 64-bit hash. Null and empty texts have no shingles and no links.
 Rows without an id, or sharing one, are told apart by a row number. Equal sets are linked
@@ -233,10 +238,37 @@ def _labelled(df: DataFrame, labels: DataFrame, column: str, name: str) -> DataF
     return df.join(known, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def resolve(entries: DataFrame, links: DataFrame, rows: DataFrame, sizes: DataFrame, copies: DataFrame, hot: int | None):
+def _across(held: DataFrame, reach: DataFrame | None) -> DataFrame:
+    """Pairs (a, b) of different components in ``held`` (sig, id, component).
+
+    ``reach`` (sig, id, n, most) bounds the size of a partner by ``most``. Sizes are matched
+    first, one row per signature and size, so sets out of each other's reach never meet.
+    """
+    sides = [[F.col("id").alias(x), F.col("component").alias(f"c{x}")] for x in "ab"]
+    if reach is None:
+        x, y = (held.select("sig", *side) for side in sides)
+        return x.join(y, "sig").filter("a < b and ca != cb").select("a", "b").distinct()
+    sized = stored(held.join(reach, ["sig", "id"]), "sized")
+    kinds = sized.groupBy("sig", "n").agg(F.max("most").alias("most"))
+    i, j = (kinds.select("sig", F.col("n").alias(f"n{x}"), F.col("most").alias(f"m{x}")) for x in "ab")
+    meet = i.join(j, "sig").filter("na <= nb and nb <= ma and na <= mb").select("sig", "na", "nb")
+    x, y = (
+        sized.select("sig", *side, F.col("n").alias(f"n{name}"), F.col("most").alias(f"m{name}"))
+        for name, side in zip("ab", sides)
+    )
+    near = meet.join(x, ["sig", "na"]).filter("nb <= ma")
+    both = near.join(y, ["sig", "nb"]).filter("a != b and ca != cb and na <= mb")
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def resolve(
+    entries: DataFrame, links: DataFrame, rows: DataFrame, sizes: DataFrame, copies: DataFrame, hot: int | None,
+    reach: DataFrame | None = None,
+):
     """Links among sets that share a signature, and ids of sets with a hot one.
 
-    ``links`` are known already; ``copies`` lists ids whose set an earlier id has.
+    ``links`` are known already; ``copies`` lists ids whose set an earlier id has;
+    ``reach`` is as in ``_across``.
     """
     star = stored(stars(entries).join(copies, "id", "left_anti").select("sig", "pivot", "id"), "stars")
     pairs = stored(star.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
@@ -252,9 +284,7 @@ def resolve(entries: DataFrame, links: DataFrame, rows: DataFrame, sizes: DataFr
     spread = held.select("sig", "component").distinct().groupBy("sig").count()
     common = stored(spread.filter(F.col("count") > hot) if hot else spread.filter("false"), "common")
     few = held.join(common, "sig", "left_anti") if hot else held
-    x = few.select("sig", F.col("id").alias("a"), F.col("component").alias("ca"))
-    y = few.select("sig", F.col("id").alias("b"), F.col("component").alias("cb"))
-    across = x.join(y, "sig").filter("a < b and ca != cb").select("a", "b").distinct().join(apart, ["a", "b"], "left_anti")
+    across = _across(few, reach).join(apart, ["a", "b"], "left_anti")
     links = links.unionByName(verify(stored(across, "across"), rows, sizes))
     return stored(links, "links"), held.join(common, "sig", "left_semi").select("id").distinct()
 
@@ -271,7 +301,10 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def prefixes(texts: DataFrame) -> DataFrame:
-    """(sig, id): the rarest shingles of each text that a similar set must share one of."""
+    """(sig, id, n, most): the rarest shingles of each text that a similar set must share one of.
+
+    ``most`` is the size that a partner may have if this is the first shingle shared.
+    """
     tokens = stored(texts.select("id", "text").mapInArrow(_tokens, "id long, tokens array<long>"), "tokens")
     star = stored(stars(tokens.select(F.explode("tokens").alias("sig"), "id")), "shared")
     shared = star.select("sig", F.col("pivot").alias("id")).distinct().unionByName(star.select("sig", "id"))
@@ -282,12 +315,13 @@ def prefixes(texts: DataFrame) -> DataFrame:
         sizes.join(common, "id")
         .withColumn("room", F.expr("n - ceil(0.8D * n - 1e-9D) + 1 - (n - common)"))
         .filter("room > 0")
-        .select("id", "room")
+        .select("id", "n", "room", F.expr("n - common").alias("own"))
     )
     ranked = shared.join(room, "id").join(often, "sig").withColumn(
         "rank", F.row_number().over(Window.partitionBy("id").orderBy("often", "sig"))
     )
-    return ranked.filter("rank <= room").select("sig", "id")
+    most = F.expr("cast(floor((9 * (n - own - rank + 1) - 4 * n) / 4) as long)")
+    return ranked.filter("rank <= room").select("sig", "id", F.col("n").cast("long").alias("n"), most.alias("most"))
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -321,7 +355,8 @@ def link_documents(docs: DataFrame) -> DataFrame:
         table.filter("rest").select("id").unionByName(hot).distinct().join(copies, "id", "left_anti"), "rest"
     )
     rest_rows = stored(rows.join(broadcast_if_small(over), "id"), "rest")
-    links, _ = resolve(prefixes(rest_rows), links, rest_rows, sizes, none.select(F.col("a").alias("id")), None)
+    rare = stored(prefixes(rest_rows), "rare")
+    links, _ = resolve(rare.select("sig", "id"), links, rest_rows, sizes, none.select(F.col("a").alias("id")), None, rare)
     labels = components(links.unionByName(equal))
     out = _labelled(table.select("id", "n"), labels, "id", "component")
     if plain:
