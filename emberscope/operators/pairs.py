@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberscope.functions import geometry as g
-from emberscope.operators.extent import _corners, _farthest
+from emberscope.operators.extent import _corners, _farthest, _wide, event_extent, farthest_between
 from emberscope.session import cut_lineage
 
 # Cells per cutoff: a cell is small against the cutoff, so its points are few and
@@ -47,8 +47,11 @@ def extent_within(
     An event narrower than the cutoff is settled by its hull, one with few distinct
     positions by looking at them directly. The others are cut into small cells;
     cell pairs are ruled in or out by their boxes, and only pairs that may still
-    raise the event's best known distance look at points.
+    raise the event's best known distance look at points. Cells follow the place on
+    the sphere, so poles, the date line and swapped axes lose no pair.
     """
+    if cutoff_m >= math.pi * g.EARTH_RADIUS_M:
+        return event_extent(detections, keys, lon, lat, axis_order)
     if axis_order == "latlon":
         lon, lat = lat, lon
     limit = f"{float(cutoff_m)!r}D"
@@ -57,7 +60,7 @@ def extent_within(
     )
     whole = (
         _corners(points, keys, "lon", "lat", "lonlat")
-        .selectExpr(*keys, f"{_farthest('corners')} AS diameter")
+        .selectExpr(*keys, f"IF({_wide('u0', 'u1', 'v0', 'v1')}, double('Infinity'), {_farthest('corners')}) AS diameter")
         .join(points.groupBy(*keys).agg(F.count("*").alias("n")), keys)
     )
     whole = cut_lineage(whole)
@@ -76,6 +79,20 @@ def extent_within(
     return settled.unionByName(_extent_by_cells(points, many, keys, cutoff_m))
 
 
+def _place_y(v: str) -> str:
+    """The latitude on the sphere of an angle that may pass the pole."""
+    return f"IF(abs({v}) <= 90D, {v}, degrees(asin(sin(radians({v})))))"
+
+
+def _place_x(u: str, v: str) -> str:
+    """The longitude in [-180, 180) that belongs to ``_place_y``."""
+    return f"pmod({u} + IF(cos(radians({v})) < 0D, 180D, 0D) + 180D, 360D) - 180D"
+
+
+def _row_width(row: str, step: float) -> str:
+    return f"greatest(0D, cos(radians(abs(({row} + 0.5D) * {step!r}D))))"
+
+
 def _best(a: str, b: str, limit: str) -> str:
     """Largest distance up to the limit between two arrays of positions."""
     distance = g.haversine_sql("a.lon", "a.lat", "b.lon", "b.lat")
@@ -92,20 +109,17 @@ def _extent_by_cells(
     step = cutoff_m / CELLS_PER_CUTOFF / (math.radians(1.0) * g.EARTH_RADIUS_M)
     cells = cut_lineage(
         points.join(events, keys, "left_semi")
-        .selectExpr("*", f"{g.cell_sql('lat', step)} AS iy")
+        .selectExpr("*", f"{_place_y('lat')} AS y", f"{_place_x('lon', 'lat')} AS x")
+        .selectExpr("*", f"{g.cell_sql('y', step)} AS iy")
         # Columns are as wide in metres as rows are high, row by row.
-        .selectExpr(
-            "*",
-            f"CAST(floor(lon * cos(radians(least(89D, abs((iy + 0.5D) * {step!r}D)))) / {step!r}D)"
-            " AS BIGINT) AS ix",
-        )
+        .selectExpr("*", f"CAST(floor(x * {_row_width('iy', step)} / {step!r}D) AS BIGINT) AS ix")
         .groupBy(*keys, "ix", "iy")
         .agg(
             F.collect_list(F.struct("lon", "lat")).alias("pts"),
-            F.min("lon").alias("x0"),
-            F.max("lon").alias("x1"),
-            F.min("lat").alias("y0"),
-            F.max("lat").alias("y1"),
+            F.min("x").alias("x0"),
+            F.max("x").alias("x1"),
+            F.min("y").alias("y0"),
+            F.max("y").alias("y1"),
         )
     )
     boxes = cells.select(*keys, "ix", "iy", "x0", "x1", "y0", "y1")
@@ -113,18 +127,23 @@ def _extent_by_cells(
     side_b = boxes.withColumnsRenamed({c: f"b_{c}" for c in ("ix", "iy", "x0", "x1", "y0", "y1")})
     reach = CELLS_PER_CUTOFF + 1
     # Every row is scaled on its own, so the partner columns are found from the
-    # longitudes a circle of the cutoff can reach, row by row.
+    # longitudes a circle of the cutoff can reach, row by row; all of them at a pole.
+    highest = f"(abs(a_y0) + {(reach + 1) * step!r}D)"
     half = (
-        f"degrees(2D * asin(least(1D, sin({cutoff_m / g.EARTH_RADIUS_M / 2.0!r}D) /"
-        f" cos(radians(least(89D, abs(a_y0) + {(reach + 1) * step!r}D))))))"
+        f"IF({highest} >= 90D, 180D, degrees(2D * asin(least(1D, sin({cutoff_m / g.EARTH_RADIUS_M / 2.0!r}D) /"
+        f" cos(radians(least({highest}, 89.999999D)))))))"
     )
-    scale = f"cos(radians(least(89D, abs((b_iy + 0.5D) * {step!r}D))))"
-    lookups = side_a.selectExpr(
-        "*", f"explode(sequence(a_iy, a_iy + {reach})) AS b_iy"
-    ).selectExpr(
-        "*",
-        f"explode(sequence(CAST(floor((a_x0 - {half}) * {scale} / {step!r}D) AS BIGINT),"
-        f" CAST(floor((a_x1 + {half}) * {scale} / {step!r}D) AS BIGINT))) AS b_ix",
+    column = lambda x: f"CAST(floor({x} * {_row_width('b_iy', step)} / {step!r}D) AS BIGINT)"
+    lookups = (
+        side_a.selectExpr("*", f"{half} AS half", "explode(array(-360D, 0D, 360D)) AS turn")
+        .withColumn("a_x0", F.expr("a_x0 + turn"))
+        .withColumn("a_x1", F.expr("a_x1 + turn"))
+        .filter("a_x0 - half <= 180D AND a_x1 + half >= -180D")
+        .selectExpr("*", f"explode(sequence(a_iy, a_iy + {reach})) AS b_iy")
+        .selectExpr(
+            "*",
+            f"explode(sequence({column('greatest(-180D, a_x0 - half)')}, {column('least(180D, a_x1 + half)')})) AS b_ix",
+        )
     )
     cell_pairs = (
         lookups.join(side_b, [*keys, "b_ix", "b_iy"])
@@ -133,11 +152,12 @@ def _extent_by_cells(
             *keys, "a_ix", "a_iy", "b_ix", "b_iy",
             f"{_box_gap_m(True)} AS at_least",
             f"{_box_gap_m(False)} AS at_most",
+            "greatest(a_x1 - b_x0, b_x1 - a_x0) <= 180D AS plain",
         )
         .filter(f"at_least <= {limit} * (1D + 1e-9D)")
     )
     floor_known = cell_pairs.groupBy(*keys).agg(
-        F.expr(f"max(at_least) FILTER (WHERE at_most <= {limit})").alias("known")
+        F.expr(f"max(at_least) FILTER (WHERE plain AND at_most <= {limit})").alias("known")
     )
     hopeful = (
         cell_pairs.join(floor_known, keys)
@@ -172,29 +192,39 @@ def extent_across_areas(
     pair of detections.
     """
     rows = detections.select("area_id", "event_no", id_col, lon, lat)
-    top = rows.agg(F.max(id_col)).first()[0] or 0
-    if rows.filter(F.col(id_col) < 0).limit(1).count():
-        raise ValueError("ids must not be negative; number the detections first")
+    ends = rows.agg(F.min(id_col), F.max(id_col)).first()
+    # Digits at which no two ids can part are left out; the sign counts as the top one.
+    size = 64 if (ends[0] or 0) < 0 <= (ends[1] or 0) else ((ends[0] or 0) ^ (ends[1] or 0)).bit_length()
     digits = rows.selectExpr(
-        "*", f"explode(sequence(0, {max(int(top).bit_length() - 1, 0)})) AS digit"
+        "*", f"explode(sequence(0, {max(size - 1, 0)})) AS digit"
     ).selectExpr(
         "*",
-        f"shiftright({id_col}, digit + 1) AS above",
-        f"shiftright({id_col}, digit) & 1 AS bit",
+        f"IF(digit = 63, 0L, shiftright({id_col}, digit + 1)) AS above",
+        f"IF(digit = 63, CAST({id_col} >= 0 AS INT), CAST(shiftright({id_col}, digit) & 1 AS INT)) AS bit",
     )
     node = ["event_no", "digit", "above"]
+    box = ["u0", "u1", "v0", "v1"]
     zeros = _corners(digits.filter("bit = 0"), ["area_id", *node], lon, lat, axis_order)
-    ones = _corners(digits.filter("bit = 1"), node, lon, lat, axis_order).withColumnRenamed(
-        "corners", "others"
+    ones = _corners(digits.filter("bit = 1"), node, lon, lat, axis_order).withColumnsRenamed(
+        {"corners": "others"} | {c: f"o_{c}" for c in box}
     )
     distance = g.haversine_sql("a.u", "a.v", "b.u", "b.v")
-    return (
-        zeros.join(ones, node)
-        .selectExpr(
+    wide = _wide("least(u0, o_u0)", "greatest(u1, o_u1)", "least(v0, o_v0)", "greatest(v1, o_v1)")
+    met = cut_lineage(
+        zeros.join(ones, node).selectExpr(
             "area_id",
-            "event_no",
+            *node,
+            f"{wide} AS wide",
             f"array_max(transform(corners, a -> array_max(transform(others, b -> {distance})))) AS d",
         )
-        .groupBy("area_id", "event_no")
-        .agg(F.max("d").alias("max_distance"))
     )
+    found = met.filter("NOT wide").select("area_id", "event_no", "d")
+    open_nodes = met.filter("wide").select("area_id", *node)
+    if open_nodes.limit(1).count():
+        u, v = (lon, lat) if axis_order == "lonlat" else (lat, lon)
+        points = digits.selectExpr("area_id", *node, "bit", f"{u} AS u", f"{v} AS v")
+        a = points.filter("bit = 0").join(open_nodes, ["area_id", *node], "left_semi").drop("bit")
+        b = points.filter("bit = 1").join(open_nodes, node, "left_semi").drop("bit", "area_id")
+        more = farthest_between(a, b, ["area_id", *node], node)
+        found = found.unionByName(more.select("area_id", "event_no", F.col("max_distance").alias("d")))
+    return found.groupBy("area_id", "event_no").agg(F.max("d").alias("max_distance"))

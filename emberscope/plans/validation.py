@@ -19,6 +19,9 @@ from emberscope.operators.spatial import (
 )
 from emberscope.session import cut_lineage
 
+# Ids are 64-bit hashes; with the date, equal hashes of different days stay apart.
+KEY = ["firms_id", "acq_date"]
+
 RESULT_COLUMNS = [
     "firms_id",
     "acq_date",
@@ -51,15 +54,14 @@ def due_for_try(
     )
     if previous is None:
         return due
-    left_open = previous.filter("no_data OR too_cloudy").select("firms_id")
-    return due.join(left_open, "firms_id", "left_semi")
+    left_open = previous.filter("no_data OR too_cloudy").select(*KEY)
+    return due.join(left_open, KEY, "left_semi")
 
 
 def one_area_each(candidates: DataFrame) -> DataFrame:
     """A detection in several areas is checked for the smallest area id."""
-    return candidates.groupBy("firms_id").agg(
-        F.min("area_id").alias("area_id"),
-        *[F.first(c).alias(c) for c in ("acq_date", "lon", "lat")],
+    return candidates.groupBy(*KEY).agg(
+        F.min("area_id").alias("area_id"), *[F.first(c).alias(c) for c in ("lon", "lat")]
     )
 
 
@@ -124,11 +126,11 @@ def validate_tries(
 def latest_try(results: list[DataFrame]) -> DataFrame:
     """The result of the last try of every detection."""
     every = reduce(lambda a, b: a.unionByName(b), results)
-    rest = [c for c in every.columns if c != "firms_id"]
+    rest = [c for c in every.columns if c not in KEY]
     return (
-        every.groupBy("firms_id")
+        every.groupBy(*KEY)
         .agg(F.max_by(F.struct(*rest), "validation_try").alias("r"))
-        .select("firms_id", *[f"r.{c}" for c in rest])
+        .select(*KEY, *[f"r.{c}" for c in rest])
     )
 
 
@@ -144,7 +146,8 @@ def combine_tries(
     ``mode='intent'`` drops detections touching any exclusion area;
     ``mode='literal'`` keeps only those touching every one.
     """
-    placed = latest_try(results).join(detections.select("firms_id", "lon", "lat"), "firms_id")
+    key = [c for c in KEY if c in detections.columns]
+    placed = latest_try(results).join(detections.select(*key, "lon", "lat"), key)
     if exclude is None:
         return placed
     if mode == "intent":

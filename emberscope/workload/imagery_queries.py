@@ -181,7 +181,7 @@ def validated(v: Views) -> DataFrame:
     """Three tries, latest result each, exclusion areas left out; checkpointed."""
     candidates, tries = _tries(v)
     exclude = polygon_cover(v.areas_exclude(), ["exclude_id"], small_edges=None)
-    positions = candidates.select("firms_id", "lon", "lat").distinct()
+    positions = candidates.select("firms_id", "acq_date", "lon", "lat").distinct()
     return cut_lineage(val.combine_tries(tries, positions, exclude))
 
 

@@ -5,6 +5,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions
 
 from emberscope.operators.extent import event_extent
 from emberscope.operators.islands import assign_events
@@ -150,3 +151,52 @@ def test_session_windows_on_a_stream(spark, tmp_path):
     assert got == [(days[0], days[1], 2), (days[2], days[2], 1)]
     batch = session_events(df).count()
     assert batch == 3
+
+
+def _metres(a, b):
+    (u1, v1), (u2, v2) = [[math.radians(x) for x in p] for p in (a, b)]
+    h = math.sin((v1 - v2) / 2) ** 2 + math.cos(v1) * math.cos(v2) * math.sin((u1 - u2) / 2) ** 2
+    return 2 * 6371000 * math.asin(math.sqrt(min(1.0, max(0.0, h))))
+
+
+def _world(spark, seed, n=120):
+    rng = random.Random(seed)
+    rows = [(1, i - n // 2, round(rng.uniform(-180, 180), 5), round(rng.uniform(-90, 90), 5)) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "event_no int, firms_id long, lon double, lat double")
+
+
+@pytest.mark.parametrize("axis_order", ["lonlat", "latlon"])
+def test_extent_round_the_globe(spark, axis_order):
+    rows, df = _world(spark, 5)
+    pts = [(r[2], r[3]) if axis_order == "lonlat" else (r[3], r[2]) for r in rows]
+    want = max(_metres(a, b) for a in pts for b in pts)
+    got = event_extent(df, ["event_no"], axis_order=axis_order).collect()
+    assert len(got) == 1 and got[0].max_distance == pytest.approx(want, abs=0.01)
+
+
+def test_extent_across_areas_with_signed_ids_round_the_globe(spark):
+    rows, df = _world(spark, 6, 60)
+    df = df.withColumn("area_id", functions.expr("pmod(firms_id, 3)"))
+    got = {r.area_id: r.max_distance for r in extent_across_areas(df).collect()}
+    for area in range(3):
+        mine = [r for r in rows if r[1] % 3 == area]
+        want = max(_metres(a[2:], b[2:]) for a in mine for b in rows if a[1] < b[1])
+        assert got[area] == pytest.approx(want, abs=0.01)
+
+
+@pytest.mark.parametrize(
+    "lon, lat, axis_order", [(112.0, 20.0, "latlon"), (180.0, 10.0, "lonlat"), (0.0, 90.0, "lonlat"), (90.0, 5.0, "latlon")]
+)
+def test_extent_within_cutoff_anywhere(spark, lon, lat, axis_order):
+    rng = random.Random(7)
+    rows = []
+    for _ in range(150):
+        x, y = lon + rng.uniform(-0.08, 0.08), lat + rng.uniform(-0.08, 0.08)
+        if lat == 90.0:
+            x, y = rng.uniform(-180, 180), 90 - abs(y - 90)
+        rows.append((1, round((x + 180) % 360 - 180, 5), round(y, 5)))
+    df = spark.createDataFrame(rows, "event_no int, lon double, lat double")
+    pts = [r[1:] if axis_order == "lonlat" else (r[2], r[1]) for r in rows]
+    want = max(d for a in pts for b in pts if (d := _metres(a, b)) <= 4000)
+    got = extent_within(df, ["event_no"], 4000.0, axis_order=axis_order).collect()
+    assert len(got) == 1 and got[0].max_distance == pytest.approx(want, abs=0.01)
