@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 
 CACHE_WORDS = 600_000
-CHUNK_CHARS = 2_500_000
+CHUNK_CHARS = 600_000
 
 # The pre-token patterns of the two vocabulary files.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
