@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from emberscope.llm import licences, secret_scan
+from emberscope.llm import licences, line_dedup, secret_scan
 from emberscope.llm.chat import Template
 
 
@@ -82,6 +82,29 @@ _LINES = r"""
            sha256(coalesce(string_agg(s, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS text_sha256
     FROM marked GROUP BY doc_id"""
 
+_PASSAGES = rf"""
+    WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS s,
+                      generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS p FROM documents),
+    k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS k, count(*) OVER (PARTITION BY doc_id) AS n,
+                 len(list_filter(string_split_regex(s, '[\x20\x09-\x0D]+'), lambda x: x != '')) AS w FROM l
+          WHERE regexp_matches(s, '[^\x20\x09-\x0D]')),
+    g AS (SELECT doc_id, k, n, w, s AS a, lead(s) OVER o AS b, lead(s, 2) OVER o AS c, lead(w) OVER o AS v FROM k
+          WINDOW o AS (PARTITION BY doc_id ORDER BY k)),
+    f AS (SELECT doc_id, k, 3 AS m, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, k) AS r FROM g WHERE c IS NOT NULL
+          UNION ALL
+          SELECT doc_id, k, 2, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, k) FROM g
+          WHERE b IS NOT NULL AND w + v > {line_dedup.WORDS}
+          UNION ALL
+          SELECT doc_id, k, 1, row_number() OVER (PARTITION BY a ORDER BY doc_id, k) FROM g WHERE w > {line_dedup.WORDS}
+          UNION ALL
+          SELECT doc_id, k, n, row_number() OVER (PARTITION BY a, b ORDER BY doc_id) FROM g WHERE n < 3 AND k = 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + m)) AS k FROM f WHERE r > 1),
+    marked AS (SELECT l.doc_id, l.p, l.s, k.k IS NOT NULL AS has_word, gone.k IS NOT NULL AS gone
+               FROM l LEFT JOIN k USING (doc_id, p) LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.k = k.k)
+    SELECT doc_id, count(*) FILTER (has_word) AS n_lines, count(*) FILTER (gone) AS n_removed,
+           sha256(coalesce(string_agg(s, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS text_sha256
+    FROM marked GROUP BY doc_id"""
+
 _NEAR = r"""
     WITH RECURSIVE w AS (
       SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -137,6 +160,7 @@ ORACLES: dict[str, str] = {
     "op2_chat_format": _chat_sql(),
     "op4_exact_dedup": _EXACT,
     "op6_line_dedup": _LINES,
+    "op6_passage_dedup": _PASSAGES,
     "op7_jaccard_join": _NEAR,
     "op8_secret_scan": _secret_sql(),
 }

@@ -65,6 +65,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of three lines alone, as its SQL has them."""
+    cut = line_dedup.drop_repeated_lines(documents(spark, sf_dir), words=None)
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(text_of(), 256).alias("text_sha256"))
+
+
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Also shorter runs of more than ``line_dedup.WORDS`` words, and whole short documents."""
     cut = line_dedup.drop_repeated_lines(documents(spark, sf_dir))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(text_of(), 256).alias("text_sha256"))
 
@@ -109,6 +116,6 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_licence_scan, op2_chat_format, op3_best_fit_packing, op4_exact_dedup, op5_bpe, op6_line_dedup,
-        op7_jaccard_join, op8_secret_scan, op9_quality_rules, op10_token_files, pipeline,
+        op6_passage_dedup, op7_jaccard_join, op8_secret_scan, op9_quality_rules, op10_token_files, pipeline,
     )
 }

@@ -226,6 +226,23 @@ def test_line_dedup_odd_rows(spark):
     assert line_dedup.drop_repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_long_passages_and_short_documents(spark):
+    """One or two lines of more than 50 words, whole documents of one or two lines; boilerplate stays."""
+    words = lambda k, n: " ".join(f"{k}{i}" for i in range(n))
+    one, a, b, at_bound, note = words("x", 51), words("a", 20), words("b", 31), words("y", 50), "All rights reserved."
+    rows = [
+        (1, f"top\n{one}\n{a}\n\n{b}\n{at_bound}\n{note}\nend"),
+        (2, f"here\n{one}\nthere"), (3, f"this\n{a}\n{b}\nthat"), (4, one), (5, f"p\n{at_bound}\nq\n{note}\nr\n{a}\ns"),
+        (6, note), (7, note), (8, f"{note}\n\nTwo."), (9, f"\n{note}\nTwo."), (10, f"{one}\n{one}\nu\nv"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).localCheckpoint()
+    got = {r.doc_id: r for r in line_dedup.drop_repeated_lines(docs).collect()}
+    left = {i: [x for x in r.text.split("\n") if x] for i, r in got.items()}
+    assert [r.n_removed for _, r in sorted(got.items())] == [0, 1, 2, 1, 0, 0, 1, 0, 2, 2]
+    assert left[2] == ["here", "there"] and left[3] == ["this", "that"] and left[4] == [] and left[10] == ["u", "v"]
+    assert left[6] == [note] and left[7] == left[9] == [] and note in left[5] and at_bound in left[5]
+
+
 def brute_components(rows):
     sets = {}
     for i, text in rows:
