@@ -7,8 +7,10 @@ give the next one. A document is rejected when its Mahalanobis distance is beyon
 that clean documents do not reach.
 
 Null text has no words and fails the fixed limits. Null language or source is a group of
-its own. Groups with fewer than ``MIN_GROUP`` documents within the fixed limits have no
-estimate and reject nothing more. Repeated rows count as often as they appear; an empty
+its own. Groups with fewer than ``MIN_GROUP`` documents within the fixed limits take the
+estimate of their language, and languages with fewer that of all documents, with word
+lengths taken from the language's median. If all documents are fewer, the bound grows by
+the F distribution, and up to six have none. Repeated rows count as often as they appear; an empty
 table gives an empty result; extra columns are ignored.
 """
 
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from emberscope.llm.storage import stored, text_of
 from emberscope.session import broadcast_if_small
 
-# Documents a group needs for an estimate of 5 centres and 15 covariances.
+# Documents a group needs for its own estimate of 5 centres and 15 covariances.
 MIN_GROUP = 50
 KEPT_SHARE = 0.75
 STEPS = 4
@@ -61,6 +63,31 @@ def chi2_quantile(p: float, d: int) -> float:
     return low
 
 
+def _f_tail(x: float, d1: int, d2: int) -> float:
+    a, b = d2 / 2, d1 / 2
+    y = d2 / (d2 + d1 * x)
+    term, total, n = 1.0, 1 / a, 0
+    while abs(term) > 1e-17:
+        n += 1
+        term *= (n - b) / n * y
+        total += term / (a + n)
+    return total * math.exp(a * math.log(y) + math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b))
+
+
+def distance_bound(n: int, d: int) -> float:
+    """The bound for an estimate from ``n`` documents; of few, only larger distances tell."""
+    if n >= MIN_GROUP:
+        return chi2_quantile(1 - 1 / ONE_IN, d)
+    h = math.ceil(KEPT_SHARE * n)
+    if h <= d:
+        return math.inf
+    low, high = 1.0, 1e60
+    for _ in range(300):
+        mid = math.sqrt(low * high)
+        low, high = (mid, high) if _f_tail(mid, d, h - d) > 1 / ONE_IN else (low, mid)
+    return low * d * (h * h - 1) / (h * (h - d))
+
+
 def statistics(docs: DataFrame) -> DataFrame:
     """Per row: ``doc_id, lang, source, row`` and the counts, from DataFrame functions alone.
 
@@ -120,8 +147,8 @@ def _distance(names: list[str]) -> Column:
     return total
 
 
-def robust_distances(vectors: DataFrame, names: list[str], floors: list[float]) -> DataFrame:
-    """``vectors`` with ``distance``, null in groups without an estimate.
+def _estimates(within: DataFrame, names: list[str], floors: list[float], keys: list[str], least: int) -> DataFrame:
+    """The estimate of each group by ``keys`` of at least ``least`` rows.
 
     Each estimate is one row per group, stored, and broadcast only up to ``GROUPS_MAX``
     groups; beyond, the join shuffles and skewed groups are split at run time. Every step
@@ -147,14 +174,13 @@ def robust_distances(vectors: DataFrame, names: list[str], floors: list[float])
                 f"_l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / low[j, j]
             )
             low[i, j] = F.col(f"_l{i}{j}")
-        return df.select(*GROUP, *(f"_m{i}" for i in range(d)), *(f"_l{i}{j}" for i, j in triangle))
+        return df.select(*keys, *(f"_m{i}" for i in range(d)), *(f"_l{i}{j}" for i, j in triangle))
 
-    within = vectors.filter(~F.col("base_failed"))
-    medians = within.groupBy(*GROUP).agg(
+    medians = within.groupBy(*keys).agg(
         F.count("*").alias("_n"), *(F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000).alias(f"_q{i}") for i, x in enumerate(names))
     )
-    start = medians.filter(F.col("_n") >= MIN_GROUP).select(
-        *GROUP,
+    start = medians.filter(F.col("_n") >= least).select(
+        *keys,
         *(F.col(f"_q{i}")[1].alias(f"_m{i}") for i in range(d)),
         *(
             F.pow((F.col(f"_q{i}")[2] - F.col(f"_q{i}")[0]) / 1.349, 2).alias(f"_c{i}{j}")
@@ -165,16 +191,49 @@ def robust_distances(vectors: DataFrame, names: list[str], floors: list[float])
     )
     estimate = stored(factor(start, 1.0), "estimate")
     for _ in range(STEPS):
-        near = within.join(broadcast_if_small(estimate, GROUPS_MAX), list(GROUP)).withColumn("_d", _distance(names))
-        bound = stored(near.groupBy(*GROUP).agg(F.percentile_approx("_d", KEPT_SHARE, 10_000).alias("_bound")), "bounds")
-        core = near.select(*GROUP, *names, "_d").join(broadcast_if_small(bound, GROUPS_MAX), list(GROUP)).filter("_d <= _bound")
-        moments = core.groupBy(*GROUP).agg(
+        near = within.join(broadcast_if_small(estimate, GROUPS_MAX), keys).withColumn("_d", _distance(names))
+        bound = stored(near.groupBy(*keys).agg(F.percentile_approx("_d", KEPT_SHARE, 10_000).alias("_bound")), "bounds")
+        core = near.select(*keys, *names, "_d").join(broadcast_if_small(bound, GROUPS_MAX), keys).filter("_d <= _bound")
+        moments = core.groupBy(*keys).agg(
             *(F.avg(x).alias(f"_m{i}") for i, x in enumerate(names)),
             *(F.covar_pop(names[i], names[j]).alias(f"_c{i}{j}") for i, j in triangle),
         )
         estimate = stored(factor(moments, consistent), "estimate")
-    joined = vectors.join(broadcast_if_small(estimate, GROUPS_MAX), list(GROUP), "left")
-    return joined.withColumn("distance", _distance(names)).select(*vectors.columns, "distance")
+    return estimate
+
+
+def robust_distances(vectors: DataFrame, names: list[str], floors: list[float]) -> DataFrame:
+    """``vectors`` with ``distance`` and its ``bound``, null in groups without a row within the limits.
+
+    Small groups have the estimate of a coarser key, which is made only if there are any,
+    from the rows of their languages or, for small languages, from all rows.
+    """
+    d = len(names)
+    within = vectors.filter(~F.col("base_failed"))
+    groups = stored(within.groupBy(*GROUP).agg(F.count("*").alias("_n")), "groups")
+    plain = F.lit(distance_bound(MIN_GROUP, d))
+    found = _estimates(within, names, floors, list(GROUP), MIN_GROUP).withColumn("bound", plain)
+    small = groups.filter(F.col("_n") < MIN_GROUP).select(*GROUP)
+    if not small.isEmpty():
+        languages = small.select("_lang").distinct()
+        by_language = within.join(broadcast_if_small(languages, GROUPS_MAX), "_lang", "left_semi")
+        coarse = _estimates(by_language, names, floors, ["_lang"], MIN_GROUP)
+        found = found.unionByName(small.join(coarse, "_lang").withColumn("bound", plain))
+        small = stored(small.join(coarse, "_lang", "left_anti"), "groups")
+    if not small.isEmpty():
+        # Words of some languages are longer: only lengths beside the language's own tell.
+        i = names.index("x_length")
+        usual = stored(within.groupBy("_lang").agg(F.percentile_approx("x_length", 0.5, 10_000).alias("_usual")), "lengths")
+        shifted = within.join(broadcast_if_small(usual, GROUPS_MAX), "_lang").select(
+            F.lit(0).alias("_all"), *(F.col(x) - F.col("_usual") if x == "x_length" else F.col(x) for x in names)
+        ).toDF("_all", *names)
+        every = _estimates(stored(shifted, "shifted"), names, floors, ["_all"], 1).drop("_all")
+        n = groups.agg(F.sum("_n")).first()[0]
+        last = small.join(usual, "_lang").crossJoin(F.broadcast(every)).withColumn(f"_m{i}", F.col(f"_m{i}") + F.col("_usual"))
+        found = found.unionByName(last.drop("_usual").withColumn("bound", F.lit(distance_bound(n, d))))
+    found = stored(found, "estimates")
+    joined = vectors.join(broadcast_if_small(found, GROUPS_MAX), list(GROUP), "left")
+    return joined.withColumn("distance", _distance(names)).select(*vectors.columns, "distance", "bound")
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -190,7 +249,6 @@ def judge(docs: DataFrame) -> DataFrame:
             for x, (formula, _) in VECTOR.items()
         ),
     )
-    bound = chi2_quantile(1 - 1 / ONE_IN, len(VECTOR))
     judged = robust_distances(stored(vectors, "statistics"), list(VECTOR), [f for _, f in VECTOR.values()])
-    far = F.coalesce(F.col("distance") > bound, F.lit(False))
+    far = F.coalesce(F.col("distance") > F.col("bound"), F.lit(False))
     return judged.select(*counts.columns, "distance", (~F.col("base_failed") & ~far).alias("kept"))

@@ -336,6 +336,82 @@ def test_quality_counts_and_outliers(spark):
     assert quality.judge(empty_docs(spark)).count() == 0
 
 
+def numpy_kept(rows):
+    """Robust estimates by group, else language, else all; rows are judged rows with ``lang`` and ``source``."""
+    import numpy as np
+
+    floors, d = np.array([f for _, f in quality.VECTOR.values()]), len(quality.VECTOR)
+    bound = quality.chi2_quantile(1 - 1 / quality.ONE_IN, d)
+    scale = quality.KEPT_SHARE / quality._chi2_cdf(quality.chi2_quantile(quality.KEPT_SHARE, d), d + 2)
+    within = [r for r in rows if not r.base_failed]
+    x = {
+        r.doc_id: np.array([
+            np.log(1 + r.n_words), np.log(r.word_chars / r.n_words), np.log(1 + 10 * r.n_symbols / r.n_words),
+            r.n_dup_lines / r.n_lines, r.n_repeat_words / r.n_words,
+        ])
+        for r in within
+    }
+    rank = lambda v, p: np.sort(v, axis=0)[int(np.ceil(p * len(v))) - 1]
+
+    def far(v, m, cov):
+        return np.einsum("ij,jk,ik->i", v - m, np.linalg.inv(cov + np.diag(floors**2)), v - m)
+
+    def estimate(v):
+        m, cov = rank(v, 0.5), np.diag(((rank(v, 0.75) - rank(v, 0.25)) / 1.349) ** 2)
+        for _ in range(quality.STEPS):
+            dist = far(v, m, cov)
+            core = v[dist <= rank(dist, quality.KEPT_SHARE)]
+            m, cov = core.mean(axis=0), np.cov(core.T, bias=True) * scale
+        return m, cov
+
+    kept = {r.doc_id: False for r in rows}
+    usual = {k: rank(np.array([x[r.doc_id][1] for r in within if r.lang == k]), 0.5) for k in {r.lang for r in within}}
+    shift = lambda k: np.array([0, usual[k], 0, 0, 0])
+    for r in within:
+        group = [x[o.doc_id] for o in within if (o.lang, o.source) == (r.lang, r.source)]
+        language = [x[o.doc_id] for o in within if o.lang == r.lang]
+        v = x[r.doc_id]
+        if max(len(group), len(language)) >= quality.MIN_GROUP:
+            m, cov = estimate(np.array(group if len(group) >= quality.MIN_GROUP else language))
+        else:
+            m, cov = estimate(np.array([x[o.doc_id] - shift(o.lang) for o in within]))
+            v = v - shift(r.lang)
+        kept[r.doc_id] = bool(far(v[None], m, cov)[0] <= bound)
+    return kept
+
+
+def test_quality_judges_small_groups(spark):
+    """A large group, small ones of a large language, and a small language with longer words."""
+    random.seed(7)
+    rows = []
+
+    def add(n, lang, source, junk=0, tail=""):
+        for k in range(n):
+            text = " ".join(f"{random.choice('abcdef')}w{random.randint(0, 999)}{tail}" for _ in range(random.randint(60, 300)))
+            text = text + " $$$ ###" * 3 if k >= junk else " ".join(f"*#{i}*$ {i}" for i in range(random.randint(80, 120)))
+            rows.append((len(rows), text, lang, source, 1, "junk" if k < junk else "fine", "", ""))
+
+    add(90, "en", "a", 3)
+    for s in "abc":
+        add(24, "es", s, 2)
+    add(9, "xx", "a", 1, "longwords" * 2)
+    add(1, None, None)
+    docs = spark.createDataFrame(rows, DOC)
+    judged = quality.judge(docs).join(docs.select("doc_id", "lang", "source"), "doc_id").collect()
+    got = {r.doc_id: r.kept for r in judged}
+    assert got == numpy_kept(judged)
+    assert all(got[r[0]] == (r[5] == "fine") for r in rows)
+
+
+def test_quality_few_documents(spark):
+    assert quality.distance_bound(6, 5) == float("inf") and 60 < quality.distance_bound(49, 5) < quality.distance_bound(30, 5)
+    assert abs(quality._f_tail(3.3258, 5, 10) - 0.05) < 1e-4
+    rows = [(i, " ".join(f"{random.choice('abcdef')}w{random.randint(0, 999)}" for _ in range(60 + 5 * i)), "en", "s", 1, "", "", "") for i in range(40)]
+    rows.append((900, " ".join(f"*#{i}*$ {i}" for i in range(90)), "en", "s", 1, "", "", ""))
+    got = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == {i: i != 900 for i in got}
+
+
 def test_chi2_quantile():
     assert abs(quality.chi2_quantile(0.95, 5) - 11.0705) < 1e-3
 
