@@ -12,6 +12,8 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +77,13 @@ def notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(NOTICES), "licence_id string, text string")
 
 
+def known_licences(spark: SparkSession) -> DataFrame:
+    """The notices, and the full texts and standard headers in ``licence_texts/<licence_id>``."""
+    files = sorted((Path(__file__).parent / "licence_texts").glob("*/*.txt"))
+    texts = [(f.parent.name, f.read_text(encoding="utf-8")) for f in files]
+    return spark.createDataFrame([*NOTICES, *texts], "licence_id string, text string")
+
+
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """Per row: ``doc_id``, sorted ``licences`` (id) and ``levels`` at which they were found.
 

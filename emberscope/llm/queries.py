@@ -22,7 +22,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licences.scan(documents(spark, sf_dir), licences.notices(spark))
+    found = licences.scan(documents(spark, sf_dir), licences.known_licences(spark))
     return found.select(
         "doc_id",
         F.array_join("licences", ",").alias("licences"),

@@ -425,6 +425,20 @@ def test_licences(spark):
     assert licences.scan(docs.limit(0), known).count() == 0
 
 
+def test_licence_query_knows_full_texts(spark, tmp_path):
+    folder = os.path.join(os.path.dirname(licences.__file__), "licence_texts")
+    read = lambda name: open(os.path.join(folder, name), encoding="utf-8").read()
+    header = read("Apache-2.0/header.txt").replace("\n", "\n# ")
+    rows = [
+        (1, "MIT Licence\n\nCopyright (c) 2020 A. Body\n\n" + read("MIT/text.txt").upper()), (2, "# Copyright 2021 B\n#\n# " + header),
+        (3, read("GPL-3.0-only/text.txt")), (4, "Copyright (c) 2019, C.\n" + read("BSD-2-Clause/reserved.txt")),
+        (5, read("MIT/text.txt") + "\nand more"), (6, "Released under the MIT License."),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.licences for r in QUERIES["op1_licence_scan"](spark, str(tmp_path)).collect()}
+    assert got == {1: "MIT", 2: "Apache-2.0", 3: "GPL-3.0-only", 4: "BSD-2-Clause", 5: "", 6: "MIT"}
+
+
 def test_pipeline(spark):
     import corpus_pipeline as cp
 
