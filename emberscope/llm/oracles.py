@@ -155,6 +155,57 @@ def _secret_sql() -> str:
     FROM d LEFT JOIN found USING (doc_id)"""
 
 
+_SEARCH = r"""
+    WITH terms AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+    asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    size AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+    total AS (SELECT count(*) AS d, sum(n)::BIGINT AS l FROM size),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weight AS (SELECT term, floor(1000 * ln((2 * any_value(d) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+               FROM tf, total GROUP BY term),
+    scored AS (SELECT item_id, doc_id,
+                 sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * d) // l))))::BIGINT AS score
+               FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN size USING (doc_id), total GROUP BY ALL)
+    SELECT item_id, rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+          FROM scored WHERE score > 0)
+    WHERE rank <= 50"""
+
+# Words that share what is left after deleting the code point at one place differ there; a
+# word that equals another with one deleted is near it.
+_SPELLING = r"""
+    WITH RECURSIVE steps AS (
+      SELECT list_transform(range(0, 256), lambda i: list_reduce(range(0, 8),
+               lambda c, k: xor(c >> 1, (c & 1) * 3988292384), i::BIGINT)) AS tab),
+    runs AS (SELECT doc_id, run, count(*) AS c FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+      WHERE length(run) >= 6 GROUP BY ALL),
+    coded AS (SELECT run, c, hex(encode(doc_id || ':' || run)) AS x FROM runs),
+    summed AS (SELECT run, c, xor(list_reduce(list_transform(range(0, length(x) // 2),
+          lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]),
+          4294967295::BIGINT), 4294967295::BIGINT) AS h FROM coded, steps),
+    spelt AS (SELECT c, CASE WHEN h % 199 = 0
+          THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM summed),
+    words AS (SELECT word, sum(c)::BIGINT AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+    cut AS (SELECT DISTINCT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+            FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+    pairs AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest
+                AND a.word != b.word
+              UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+              UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+    best AS (SELECT word, any_value(n) AS n, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other,
+                    max(other_n) AS other_n FROM pairs GROUP BY word),
+    forms AS (SELECT word, n_near, CASE WHEN other_n >= 5 * n THEN other END AS form,
+                     CASE WHEN other_n >= 5 * n THEN other_n END AS form_n FROM best),
+    walk AS (SELECT word, word AS stop, 0 AS steps FROM words
+             UNION ALL SELECT w.word, f.form, steps + 1 FROM walk w JOIN forms f ON f.word = w.stop WHERE f.form IS NOT NULL)
+    SELECT w.word, form, root, n, coalesce(n_near, 0) AS n_near, form_n
+    FROM words w LEFT JOIN forms USING (word)
+    JOIN (SELECT word, arg_max(stop, steps) AS root FROM walk GROUP BY word) USING (word)"""
+
 ORACLES: dict[str, str] = {
     "op1_licence_scan": _licence_sql(),
     "op2_chat_format": _chat_sql(),
@@ -163,4 +214,6 @@ ORACLES: dict[str, str] = {
     "op6_passage_dedup": _PASSAGES,
     "op7_jaccard_join": _NEAR,
     "op8_secret_scan": _secret_sql(),
+    "op11_lexical_search": _SEARCH,
+    "op12_spelling_variants": _SPELLING,
 }

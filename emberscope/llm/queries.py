@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberscope.llm import bpe, chat, exact_dedup, jaccard_join, licences, line_dedup, packing, quality, secret_scan, token_files
+from emberscope.llm import bpe, chat, exact_dedup, fingerprints, jaccard_join, lexical_search, licences, line_dedup
+from emberscope.llm import packing, quality, secret_scan, spelling, token_files
 from emberscope.llm.storage import documents, text_of
 from emberscope.session import scratch_path
 
@@ -106,6 +107,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical_search.search(documents(spark, sf_dir), items, k=50)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(documents(spark, sf_dir)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -116,6 +130,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_licence_scan, op2_chat_format, op3_best_fit_packing, op4_exact_dedup, op5_bpe, op6_line_dedup,
-        op6_passage_dedup, op7_jaccard_join, op8_secret_scan, op9_quality_rules, op10_token_files, pipeline,
+        op6_passage_dedup, op7_jaccard_join, op8_secret_scan, op9_quality_rules, op10_token_files, op11_lexical_search,
+        op12_spelling_variants, op13_fingerprints, pipeline,
     )
 }
