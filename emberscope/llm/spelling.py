@@ -119,7 +119,7 @@ def _block(mixed: np.ndarray, blocks: int) -> np.ndarray:
 def _bit(mixed: np.ndarray, part: int) -> np.ndarray:
     """Bit of one of the eight 64-bit parts of the block."""
     with np.errstate(over="ignore"):
-        again = mixed * np.uint64(2 * part + 0xD6E8FEB86659FD93)
+        again = mixed * _powers(part + 1)[part + 1]
     return np.uint64(1) << (again >> np.uint64(58))
 
 
