@@ -20,6 +20,7 @@ class ImageryParams:
     min_building_confidence: float = 0.75
     pixel_half_size_deg: float = 0.000045
     block_deg: float = 0.002
+    tile_blocks: int = 500  # blocks along the side of a tile of the stored pixel table
     scene_cell_deg: float = 1.0
 
     def __post_init__(self):
@@ -27,6 +28,8 @@ class ImageryParams:
             raise ValueError("buffer_distance_m must be positive")
         if self.days_around <= 0:
             raise ValueError("days_around must be positive")
+        if self.tile_blocks <= 0:
+            raise ValueError("tile_blocks must be positive")
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,7 @@ import datetime
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberscope.config import ImageryParams
@@ -18,6 +18,7 @@ from emberscope.operators.spatial import (
     touching_every_polygon,
 )
 from emberscope.session import cut_lineage
+from emberscope.sources.tables import lookback_start, merge_by_key, path_exists, read_interval, upsert_days
 
 # Ids are 64-bit hashes; with the date, equal hashes of different days stay apart.
 KEY = ["firms_id", "acq_date"]
@@ -65,28 +66,19 @@ def one_area_each(candidates: DataFrame) -> DataFrame:
     )
 
 
-def validate_batch(
-    candidates: DataFrame,
-    areas: DataFrame,
-    scenes: DataFrame,
-    pixels: DataFrame,
-    buildings: DataFrame | None,
-    params: ImageryParams,
+def results_of(
+    judged: DataFrame, pixels: DataFrame, buildings: DataFrame | None, params: ImageryParams
 ) -> DataFrame:
-    """Check a batch against imagery: one result row per firms_id.
+    """Results of detections whose scenes are chosen, by one pass over the pixels.
 
-    Order as in the checks themselves: no scenes around the date, only cloudy
-    scenes around the date, then the pixels of the nearest clear scenes. What
-    later steps read more than once is checkpointed: the batch, the choice of
-    scenes, and the burnt pixels, so that the pixel table is scanned once.
+    ``judged`` is cut off; it may hold the rows of several tries. The burnt pixels
+    are checkpointed, as counting reads them more than once.
     """
-    checks = cut_lineage(one_area_each(candidates))
-    used = areas.join(checks.select("area_id").distinct(), "area_id", "left_semi")
-    judged = cut_lineage(imagery.judge(checks, used, scenes, params))
     looks = imagery.looks_of(judged, params)
     burnt = cut_lineage(imagery.burnt_pixels(pixels, looks, params))
     counts = imagery.burnt_counts(looks, burnt, buildings, params)
     threshold = params.burnt_pixel_count_threshold
+    tries = ["validation_try"] if "validation_try" in judged.columns else []
     return (
         judged.join(counts, imagery.LOOK, "left")
         .selectExpr(
@@ -99,10 +91,92 @@ def validate_batch(
             "coalesce(burnt_building_count, 0) AS burnt_building_count",
             "no_data",
             "too_cloudy",
+            *tries,
         )
     )
 
 
+def _days_of(checks: DataFrame) -> tuple[datetime.date | None, datetime.date | None]:
+    return tuple(checks.agg(F.min("acq_date"), F.max("acq_date")).first())
+
+
+def validate_batch(
+    candidates: DataFrame,
+    areas: DataFrame,
+    scenes: DataFrame,
+    pixels: DataFrame,
+    buildings: DataFrame | None,
+    params: ImageryParams,
+) -> DataFrame:
+    """Check a batch against imagery: one result row per firms_id.
+
+    Order as in the checks themselves: no scenes around the date, only cloudy
+    scenes around the date, then the pixels of the nearest clear scenes.
+    """
+    checks = cut_lineage(one_area_each(candidates))
+    used = areas.join(checks.select("area_id").distinct(), "area_id", "left_semi")
+    known = imagery.scenes_of_days(scenes, *_days_of(checks), params)
+    judged = cut_lineage(imagery.judge(checks, used, known, params))
+    return results_of(judged, pixels, buildings, params)
+
+
+def judge_tries(
+    checks: DataFrame,
+    areas: DataFrame,
+    scenes: DataFrame | Callable[[int], DataFrame],
+    params: ImageryParams,
+    as_of: datetime.date,
+    ages_days: tuple[int, ...] = (11, 16, 21),
+    held: list[DataFrame | None] | None = None,
+) -> list[DataFrame]:
+    """Scene choices of every try, before any pixel is read.
+
+    Whether a try leaves a detection open depends on scenes alone, so try n is known
+    from the choices of try n-1. ``checks`` have one area each and are cut off.
+    ``scenes`` may differ by try. ``held`` are stored results of earlier runs; a
+    detection judged now counts as judged, else as stored.
+    """
+    used = cut_lineage(areas.join(checks.select("area_id").distinct(), "area_id", "left_semi"))
+    days = _days_of(checks)
+    if not callable(scenes):
+        shared = imagery.scene_calendar(used, imagery.scenes_of_days(scenes, *days, params), params)
+        shared = tuple(cut_lineage(part) for part in shared)
+    judged: list[DataFrame] = []
+    for try_no, age in enumerate(ages_days):
+        previous = None
+        if try_no:
+            previous = judged[-1].select(*KEY, "no_data", "too_cloudy")
+            if held and held[try_no - 1] is not None:
+                previous = merge_by_key(held[try_no - 1].select(*previous.columns), previous, KEY)
+        due = due_for_try(checks, as_of, age, previous)
+        calendar = shared if not callable(scenes) else imagery.scene_calendar(
+            used, imagery.scenes_of_days(scenes(try_no), *days, params), params
+        )
+        choice = imagery.choose_scenes(due, calendar, params)
+        judged.append(cut_lineage(choice.withColumn("validation_try", F.lit(try_no))))
+    return judged
+
+
+def validate_all_tries(
+    candidates: DataFrame,
+    areas: DataFrame,
+    scenes: DataFrame | Callable[[int], DataFrame],
+    pixels: DataFrame,
+    buildings: DataFrame | None,
+    params: ImageryParams,
+    as_of: datetime.date,
+    ages_days: tuple[int, ...] = (11, 16, 21),
+) -> DataFrame:
+    """Results of all tries together, by one pass over the pixels for all of them."""
+    checks = cut_lineage(one_area_each(candidates))
+    judged = judge_tries(checks, areas, scenes, params, as_of, ages_days)
+    return results_of(_all(judged), pixels, buildings, params)
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def validate_tries(
     candidates: DataFrame,
     check: Callable[[DataFrame, int], DataFrame],
@@ -123,9 +197,56 @@ def validate_tries(
     return results
 
 
+def try_table(path: str, try_no: int) -> str:
+    return f"{path}/try-{try_no}"
+
+
+def held_tries(
+    spark: SparkSession, path: str, start: datetime.date, end: datetime.date, n_tries: int = 3
+) -> list[DataFrame | None]:
+    """Stored results of every try in a closed interval, None where a try has none yet."""
+    tables = [try_table(path, n) for n in range(n_tries)]
+    return [read_interval(spark, t, start, end) if path_exists(spark, t) else None for t in tables]
+
+
+def run_tries(
+    candidates: DataFrame,
+    areas: DataFrame,
+    scenes: DataFrame,
+    pixels: DataFrame,
+    buildings: DataFrame | None,
+    params: ImageryParams,
+    path: str,
+    start: datetime.date,
+    end: datetime.date,
+    as_of: datetime.date,
+    ages_days: tuple[int, ...] = (11, 16, 21),
+    lookback_days: int = 60,
+) -> None:
+    """One run over the detections of an interval, its results kept for later runs.
+
+    Every try has a table below ``path``, stored by day. A run takes the interval and
+    ``lookback_days`` before it, judges those days anew with the scenes known by now, and
+    replaces the results it has; results of detections that are not due any more, and all
+    other days, stay. Only the days of the look-back are read from the tables. A run that
+    breaks off between two tries is mended by running it again.
+    """
+    spark = candidates.sparkSession
+    first = lookback_start(start, lookback_days)
+    batch = candidates.filter(F.col("acq_date").between(F.lit(first), F.lit(end)))
+    checks = cut_lineage(one_area_each(batch))
+    held = held_tries(spark, path, first, end, len(ages_days))
+    judged = judge_tries(checks, areas, scenes, params, as_of, ages_days, held)
+    results = cut_lineage(results_of(_all(judged), pixels, buildings, params))
+    for try_no in range(len(ages_days)):
+        done = results.filter(F.col("validation_try") == try_no)
+        if not done.isEmpty():
+            upsert_days(done, try_table(path, try_no), KEY)
+
+
 def latest_try(results: list[DataFrame]) -> DataFrame:
     """The result of the last try of every detection."""
-    every = reduce(lambda a, b: a.unionByName(b), results)
+    every = _all(results)
     rest = [c for c in every.columns if c not in KEY]
     return (
         every.groupBy(*KEY)

@@ -72,7 +72,7 @@ def read_interval(
     return spark.read.parquet(path).filter(F.col(date).between(F.lit(start), F.lit(end)))
 
 
-def merge_by_key(current: DataFrame, new: DataFrame, key: str) -> DataFrame:
+def merge_by_key(current: DataFrame, new: DataFrame, key: str | list[str]) -> DataFrame:
     """New rows plus the current rows whose key they do not carry."""
     return current.join(new.select(key), key, "left_anti").unionByName(new)
 
@@ -81,7 +81,7 @@ def lookback_start(end: datetime.date, days: int) -> datetime.date:
     return end - datetime.timedelta(days=days)
 
 
-def upsert_days(new: DataFrame, path: str, key: str, date: str = DATE) -> None:
+def upsert_days(new: DataFrame, path: str, key: str | list[str], date: str = DATE) -> None:
     """Upsert by key into a table stored by day, touching only the days of ``new``.
 
     A key keeps its date, so its old row can only be in a day that ``new`` has.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from emberscope.operators.spatial import points_in_polygons, polygon_cover
 from emberscope.plans import marts
 from emberscope.plans import validation as val
 from emberscope.plans.events import cluster_events
-from emberscope.session import cut_lineage
+from emberscope.session import cut_lineage, scratch_path
 from emberscope.workload.catalog import cte, haversine, query
 from emberscope.workload.event_queries import event_sql, rounded_events
 from emberscope.workload.views import AOI_BUFFER_M, AS_OF, PIXEL_HALF_SIZE, Views
@@ -163,18 +165,18 @@ def _candidates(v: Views) -> DataFrame:
     return val.to_validate(v.detections(), v.include_cover())
 
 
-def _tries(v: Views) -> tuple[DataFrame, list[DataFrame]]:
-    """Candidates and the results of three tries over stored input tables."""
-    candidates = cut_lineage(_candidates(v))
-    areas, scenes, pixels = (cut_lineage(t) for t in (v.areas(), v.scenes(), v.pixels()))
-    buildings = v.buildings()
+def _known(v: Views, part: int) -> DataFrame:
+    """Scenes keep coming in: a further quarter of them is known each time."""
+    return v.scenes().filter(f"scene_id % 4 <= {part}")
 
-    def check(batch: DataFrame, try_no: int) -> DataFrame:
-        # Scenes keep coming in: each try knows a further quarter of them.
-        known = scenes.filter(f"scene_id % 4 <= {try_no + 1}")
-        return val.validate_batch(batch, areas, known, pixels, buildings, PARAMS)
 
-    return candidates, val.validate_tries(candidates, check, AS_OF)
+def _tries(v: Views) -> tuple[DataFrame, DataFrame]:
+    """Candidates and the results of three tries."""
+    candidates = cut_lineage(_candidates(v))
+    tries = val.validate_all_tries(
+        candidates, v.areas(), lambda try_no: _known(v, try_no + 1), v.pixels(), v.buildings(), PARAMS, AS_OF
+    )
+    return candidates, tries
 
 
 def validated(v: Views) -> DataFrame:
@@ -182,7 +184,7 @@ def validated(v: Views) -> DataFrame:
     candidates, tries = _tries(v)
     exclude = polygon_cover(v.areas_exclude(), ["exclude_id"], small_edges=None)
     positions = candidates.select("firms_id", "acq_date", "lon", "lat").distinct()
-    return cut_lineage(val.combine_tries(tries, positions, exclude))
+    return cut_lineage(val.combine_tries([tries], positions, exclude))
 
 
 RESULT = ", ".join(val.RESULT_COLUMNS)
@@ -266,6 +268,65 @@ def imagery_validation(v: Views) -> DataFrame:
     )
 
 
+@query("PIPE4 SRC13 AGG11", f"SELECT {RESULT} FROM result", "result")
+def validation_of_stored_pixels(v: Views) -> DataFrame:
+    """The pixel table laid out by scene day and tile before it is read."""
+    path = scratch_path(v.spark, "pixels")
+    imagery.store_pixels(v.pixels(), v.scenes(), path, PARAMS)
+    pixels = imagery.stored_pixels(v.spark, path)
+    return val.validate_batch(_candidates(v), v.areas(), v.scenes(), pixels, v.buildings(), PARAMS)
+
+
+# (first and last day, clock, known quarters of the scenes) of three runs, ten days of look-back.
+RUNS = [
+    (datetime.date(2024, 1, 1), datetime.date(2024, 1, 14), datetime.date(2024, 1, 22), 1),
+    (datetime.date(2024, 1, 15), datetime.date(2024, 1, 20), datetime.date(2024, 1, 29), 2),
+    (datetime.date(2024, 1, 21), datetime.date(2024, 1, 31), datetime.date(2024, 2, 8), 3),
+]
+LOOKBACK = 10
+
+
+def _run_ctes() -> str:
+    """Tables of every try after every run; returns the union of the last ones."""
+    for r, (start, end, as_of, part) in enumerate(RUNS):
+        for t, age in enumerate((11, 16, 21)):
+            k = 100 + 10 * r + t
+            due = (
+                f"SELECT * FROM hits WHERE acq_date BETWEEN DATE '{start}' - {LOOKBACK} AND DATE '{end}'"
+                f" AND acq_date < DATE '{as_of}' - {age}"
+            )
+            if t:
+                due += f" AND firms_id IN (SELECT firms_id FROM held{k - 1} WHERE no_data OR too_cloudy)"
+            _try_ctes(k, due, f"scene_id % 4 <= {part}")
+            older = f"UNION ALL SELECT * FROM held{k - 10} WHERE firms_id NOT IN (SELECT firms_id FROM due{k})"
+            cte(f"held{k}", f"SELECT * FROM result{k} {older if r else ''}")
+    return " UNION ALL ".join(f"SELECT *, {t} AS validation_try FROM held{120 + t}" for t in range(3))
+
+
+cte("held_tries", _run_ctes())
+
+
+@query(
+    "PIPE3 INC2 INC3",
+    f"""
+    SELECT {RESULT}, validation_try
+    FROM (SELECT *, row_number() OVER (PARTITION BY firms_id ORDER BY validation_try DESC) AS rn FROM held_tries)
+    WHERE rn = 1""",
+    "held_tries",
+)
+def retries_over_three_runs(v: Views) -> DataFrame:
+    """The clock moves on, scenes come in, and every run goes on from the stored tries."""
+    path = scratch_path(v.spark, "tries")
+    candidates = cut_lineage(_candidates(v))
+    for start, end, as_of, part in RUNS:
+        val.run_tries(
+            candidates, v.areas(), _known(v, part), v.pixels(), v.buildings(), PARAMS, path,
+            start, end, as_of, lookback_days=LOOKBACK,
+        )
+    held = val.held_tries(v.spark, path, RUNS[0][0], RUNS[-1][1])
+    return val.latest_try([h for h in held if h is not None])
+
+
 @query(
     "PIPE12",
     """
@@ -298,7 +359,7 @@ def burnt_regions(v: Views) -> DataFrame:
     "latest",
 )
 def latest_results_of_three_tries(v: Views) -> DataFrame:
-    return val.latest_try(_tries(v)[1])
+    return val.latest_try([_tries(v)[1]])
 
 
 @query(
