@@ -18,7 +18,7 @@ from emberscope.operators.spatial import (
     touching_every_polygon,
 )
 from emberscope.session import cut_lineage
-from emberscope.sources.tables import lookback_start, merge_by_key, path_exists, read_interval, upsert_days
+from emberscope.sources.tables import lookback_start, path_exists, read_interval, upsert_days
 
 # Ids are 64-bit hashes; with the date, equal hashes of different days stay apart.
 KEY = ["firms_id", "acq_date"]
@@ -123,44 +123,63 @@ def validate_batch(
 def judge_tries(
     checks: DataFrame,
     areas: DataFrame,
-    scenes: DataFrame | Callable[[int], DataFrame],
+    scenes: DataFrame,
     params: ImageryParams,
     as_of: datetime.date,
     ages_days: tuple[int, ...] = (11, 16, 21),
     held: list[DataFrame | None] | None = None,
-) -> list[DataFrame]:
-    """Scene choices of every try, before any pixel is read.
-
-    Whether a try leaves a detection open depends on scenes alone, so try n is known
-    from the choices of try n-1. ``checks`` have one area each and are cut off.
-    ``scenes`` may differ by try. ``held`` are stored results of earlier runs; a
-    detection judged now counts as judged, else as stored.
+) -> DataFrame:
+    """Scene choices of all tries that are due, one row per detection and try; cut off.
+
+    Whether a try leaves a detection open depends on scenes alone, so all tries are
+    known before any pixel is read: the choices of every try are found together, once
+    per scene group and date, and the row of a detection runs through its tries.
+    ``checks`` have one area each and are cut off. A column ``known_from`` of the
+    scenes names the first try that knows them. ``held`` are stored results of earlier
+    runs; a detection judged now counts as judged, else as stored.
     """
-    used = cut_lineage(areas.join(checks.select("area_id").distinct(), "area_id", "left_semi"))
-    days = _days_of(checks)
-    if not callable(scenes):
-        shared = imagery.scene_calendar(used, imagery.scenes_of_days(scenes, *days, params), params)
-        shared = tuple(cut_lineage(part) for part in shared)
-    judged: list[DataFrame] = []
+    n = len(ages_days)
+    used = areas.join(checks.select("area_id").distinct(), "area_id", "left_semi")
+    known = imagery.scenes_of_days(scenes, *_days_of(checks), params)
+    if "known_from" in known.columns:
+        known = known.filter(f"known_from < {n}").selectExpr(
+            "*", f"explode(sequence(CAST(known_from AS INT), {n - 1})) AS scene_try"
+        )
+    groups, days = imagery.scene_calendar(used, known, params)
+    grouped = checks.join(groups, "area_id", "left")
+    outcomes = imagery.outcomes_by_try(imagery.scene_choice(grouped, days, params), n)
+    rows = grouped.join(outcomes, ["scene_group", "acq_date"], "left")
+    # Without any scenes: no data, and nothing else.
+    nothing = ", ".join(
+        f"{value} AS {name}"
+        for name, value in zip(imagery.OUTCOME, ("true", "false", *["CAST(NULL AS DATE)"] * 2, *["NULL"] * 2))
+    )
+    left_open = "false"
     for try_no, age in enumerate(ages_days):
-        previous = None
-        if try_no:
-            previous = judged[-1].select(*KEY, "no_data", "too_cloudy")
-            if held and held[try_no - 1] is not None:
-                previous = merge_by_key(held[try_no - 1].select(*previous.columns), previous, KEY)
-        due = due_for_try(checks, as_of, age, previous)
-        calendar = shared if not callable(scenes) else imagery.scene_calendar(
-            used, imagery.scenes_of_days(scenes(try_no), *days, params), params
+        limit = as_of - datetime.timedelta(days=age)
+        due = f"acq_date < DATE'{limit}'" + (f" AND {left_open}" if try_no else "")
+        rows = rows.withColumn(f"_due_{try_no}", F.expr(due)).withColumn(
+            f"_found_{try_no}", F.expr(f"coalesce(outcome_{try_no}, struct({nothing}))")
         )
-        choice = imagery.choose_scenes(due, calendar, params)
-        judged.append(cut_lineage(choice.withColumn("validation_try", F.lit(try_no))))
-    return judged
+        stored = "false"
+        if held and held[try_no] is not None:
+            flags = held[try_no].selectExpr(*KEY, f"no_data OR too_cloudy AS _held_{try_no}")
+            rows, stored = rows.join(flags, KEY, "left"), f"coalesce(_held_{try_no}, false)"
+        left_open = f"IF(_due_{try_no}, _found_{try_no}.no_data OR _found_{try_no}.too_cloudy, {stored})"
+    tries = ", ".join(
+        f"IF(_due_{t}, struct({t} AS validation_try, _found_{t} AS found), NULL)" for t in range(n)
+    )
+    return cut_lineage(
+        rows.selectExpr(*checks.columns, f"inline(array_compact(array({tries})))").selectExpr(
+            *checks.columns, "found.*", "validation_try"
+        )
+    )
 
 
 def validate_all_tries(
     candidates: DataFrame,
     areas: DataFrame,
-    scenes: DataFrame | Callable[[int], DataFrame],
+    scenes: DataFrame,
     pixels: DataFrame,
     buildings: DataFrame | None,
     params: ImageryParams,
@@ -170,11 +189,7 @@ def validate_all_tries(
     """Results of all tries together, by one pass over the pixels for all of them."""
     checks = cut_lineage(one_area_each(candidates))
     judged = judge_tries(checks, areas, scenes, params, as_of, ages_days)
-    return results_of(_all(judged), pixels, buildings, params)
-
-
-def _all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return results_of(judged, pixels, buildings, params)
 
 
 def validate_tries(
@@ -237,7 +252,7 @@ def run_tries(
     checks = cut_lineage(one_area_each(batch))
     held = held_tries(spark, path, first, end, len(ages_days))
     judged = judge_tries(checks, areas, scenes, params, as_of, ages_days, held)
-    results = cut_lineage(results_of(_all(judged), pixels, buildings, params))
+    results = cut_lineage(results_of(judged, pixels, buildings, params))
     for try_no in range(len(ages_days)):
         done = results.filter(F.col("validation_try") == try_no)
         if not done.isEmpty():
@@ -246,7 +261,7 @@ def run_tries(
 
 def latest_try(results: list[DataFrame]) -> DataFrame:
     """The result of the last try of every detection."""
-    every = _all(results)
+    every = reduce(lambda a, b: a.unionByName(b), results)
     rest = [c for c in every.columns if c not in KEY]
     return (
         every.groupBy(*KEY)
