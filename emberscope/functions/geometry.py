@@ -68,6 +68,24 @@ def on_any_edge_sql(x: str, y: str, edges: str) -> str:
     )
 
 
+def on_any_part_sql(x: str, y: str, parts: str) -> str:
+    """Position lies on a part of an edge: on the line of ``e``, inside the part's own box."""
+    return (
+        f"exists({parts}, p -> {y} BETWEEN p.ymin AND p.ymax AND {x} BETWEEN p.xmin AND p.xmax"
+        f" AND {_side('p.e', x, y)} = 0D)"
+    )
+
+
+def inside_edge_sql(e: str, x: str, y: str) -> str:
+    """Position lies on the edge, but is not one of its ends."""
+    return (
+        f"{y} BETWEEN least({e}.y1, {e}.y2) AND greatest({e}.y1, {e}.y2)"
+        f" AND {x} BETWEEN least({e}.x1, {e}.x2) AND greatest({e}.x1, {e}.x2)"
+        f" AND NOT ({x} = {e}.x1 AND {y} = {e}.y1) AND NOT ({x} = {e}.x2 AND {y} = {e}.y2)"
+        f" AND {_side(e, x, y)} = 0D"
+    )
+
+
 def touches_polygon_sql(
     x: str, y: str, edges: str, ref_x: str, ref_y: str, ref_inside: str
 ) -> str:

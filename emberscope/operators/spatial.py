@@ -64,6 +64,10 @@ class PolygonCover:
         return F.broadcast(self.frame) if self.fits_broadcast() else self.frame
 
 
+# Cells along the side of a grid cell where corners are looked up on edges.
+CORNER_CELLS = 4
+
+
 def explode_cells(df: DataFrame, cell_deg: float, prefix: str = "cov_") -> DataFrame:
     """One row per grid cell of the row's box (xmin, ymin, xmax, ymax)."""
     xs = f"sequence({g.cell_sql('xmin', cell_deg)}, {g.cell_sql('xmax', cell_deg)})"
@@ -264,13 +268,34 @@ def clip_to_union(
 ) -> DataFrame:
     """Points strictly inside the union of the polygons.
 
-    Borders between two polygons belong to the union. Its outline is taken to be
-    the edges that only one polygon has, which holds when neighbours share their
-    border vertices; points on the outline are dropped.
+    Borders between polygons belong to the union, also where only one side has a corner
+    on them; points on its outline are dropped.
     """
     cover = polygon_cover(polygons, [], cell_deg, small_edges)
     inside = points_in_polygons(points, cover, "left_semi", lon, lat)
-    outline = (
+    cells = (
+        explode_cells(union_outline(polygons, cell_deg), cell_deg)
+        .filter(_edge_in_cell("e", cell_deg))
+        .groupBy("cov_ix", "cov_iy")
+        .agg(F.collect_list(F.struct("e", "xmin", "ymin", "xmax", "ymax")).alias("cov_edges"))
+    )
+    border = PolygonCover(cells, cell_deg, ())
+    on = F.expr(
+        f"{_same_cell(cell_deg, lon, lat)} AND {g.on_any_part_sql(lon, lat, 'cov_edges')}"
+    )
+    return inside.join(border.side(), on, "left_anti")
+
+
+def union_outline(polygons: DataFrame, cell_deg: float = 0.1) -> DataFrame:
+    """Parts of edges that bound the union: the edge ``e`` and the box of the part.
+
+    Edges that two polygons have in common go first. What is left is cut at every corner
+    that lies on it, so that a long edge meets the shorter ones of its other side piece by
+    piece, and pieces met twice go as well. Corners are looked up by grid cell; only edges
+    without an equal take part, on real borders a small share but for the outline itself.
+    A part keeps its whole edge, so a position is judged by the same line everywhere.
+    """
+    single = cut_lineage(
         polygons.select(F.explode(g.ring_edges()).alias("e"))
         .selectExpr(
             "CASE WHEN e.x1 < e.x2 OR (e.x1 = e.x2 AND e.y1 <= e.y2) THEN e"
@@ -280,21 +305,39 @@ def clip_to_union(
         .agg(F.count("*").alias("n"))
         .filter("n = 1")
         .selectExpr(
-            "e",
-            "least(e.x1, e.x2) AS xmin",
-            "greatest(e.x1, e.x2) AS xmax",
-            "least(e.y1, e.y2) AS ymin",
-            "greatest(e.y1, e.y2) AS ymax",
+            "e", "e.x1 AS xmin", "e.x2 AS xmax", "least(e.y1, e.y2) AS ymin", "greatest(e.y1, e.y2) AS ymax"
         )
     )
-    cells = (
-        explode_cells(outline, cell_deg)
-        .filter(_edge_in_cell("e", cell_deg))
-        .groupBy("cov_ix", "cov_iy")
-        .agg(F.collect_list("e").alias("cov_edges"))
+    size = cell_deg / CORNER_CELLS
+    corners = (
+        single.selectExpr("inline(array(struct(e.x1 AS x, e.y1 AS y), struct(e.x2 AS x, e.y2 AS y)))")
+        .distinct()
+        .selectExpr("x", "y", f"{g.cell_sql('x', size)} AS cov_ix", f"{g.cell_sql('y', size)} AS cov_iy")
     )
-    border = PolygonCover(cells, cell_deg, ())
-    on = F.expr(
-        f"{_same_cell(cell_deg, lon, lat)} AND {g.on_any_edge_sql(lon, lat, 'cov_edges')}"
+    cuts = (
+        explode_cells(single, size)
+        .filter(_edge_in_cell("e", size))
+        .select("e", "cov_ix", "cov_iy")
+        .join(corners, ["cov_ix", "cov_iy"])
+        .filter(g.inside_edge_sql("e", "x", "y"))
+        .groupBy("e")
+        .agg(F.collect_set(F.struct("x", "y")).alias("cuts"))
+    )
+    # Edges run to larger (x, y), so sorted cuts are in order along them.
+    nodes = (
+        "concat(array(struct(e.x1 AS x, e.y1 AS y)), array_sort(coalesce(cuts, array())),"
+        " array(struct(e.x2 AS x, e.y2 AS y)))"
+    )
+    parts = single.join(cuts, "e", "left").selectExpr("e", f"{nodes} AS nodes").selectExpr(
+        "e",
+        "explode(transform(sequence(1, size(nodes) - 1), i -> struct(nodes[i - 1] AS a, nodes[i] AS b))) AS part",
+    )
+    return (
+        parts.groupBy("part")
+        .agg(F.count("*").alias("n"), F.min("e").alias("e"))
+        .filter("n = 1")
+        .selectExpr(
+            "e", "part.a.x AS xmin", "part.b.x AS xmax",
+            "least(part.a.y, part.b.y) AS ymin", "greatest(part.a.y, part.b.y) AS ymax",
+        )
     )
-    return inside.join(border.side(), on, "left_anti")

@@ -61,6 +61,19 @@ def detections_in_country(v: Views) -> DataFrame:
     return spatial.clip_to_union(points, v.admin(2), cell_deg=0.5, small_edges=None)
 
 
+@query(
+    "GEO2",
+    """
+    SELECT firms_id, lon, lat FROM det
+    WHERE lon > 20 AND lon < 30 AND lat > 0 AND lat < 15""",
+    "det",
+)
+def country_with_uneven_borders(v: Views) -> DataFrame:
+    """Neighbours whose corners lie on the middle of each other's borders."""
+    points = v.detections().select("firms_id", "lon", "lat")
+    return spatial.clip_to_union(points, v.admin_uneven(), cell_deg=0.5, small_edges=None)
+
+
 @query(
     "GEO3 GEO9",
     """

@@ -134,6 +134,27 @@ class Views:
             boxes.selectExpr("'XXX' AS country_id", *names, f"array({ring}) AS rings")
         )
 
+    def admin_uneven(self) -> DataFrame:
+        """The same strips; every other one has its inner borders a degree lower."""
+        regions = self.table("region").selectExpr("r_regionkey", "r_regionkey % 2 AS odd")
+        boxes = (
+            self.table("nation")
+            .selectExpr(
+                "n_regionkey AS r_regionkey",
+                "rank() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS band",
+                "count(*) OVER (PARTITION BY n_regionkey) AS bands",
+            )
+            .join(regions, "r_regionkey")
+            .selectExpr(
+                "*",
+                "IF(band = 0, 0, band * 3 - odd) AS lo",
+                "IF(band = bands - 1, 3 * bands, band * 3 + 3 - odd) AS hi",
+            )
+        )
+        x1, x2 = "(20 + 2 * r_regionkey)", "(22 + 2 * r_regionkey)"
+        ring = _points((x1, "lo"), (x2, "lo"), (x2, "hi"), (x1, "hi"), (x1, "lo"))
+        return g.with_bounds(boxes.selectExpr(f"array({ring}) AS rings"))
+
     def settlements(self) -> DataFrame:
         return self.table("supplier").selectExpr(
             "s_name AS name",

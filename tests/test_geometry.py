@@ -114,6 +114,26 @@ def test_clip_keeps_inner_borders_only(spark):
     assert got == {0, 3}
 
 
+def test_union_keeps_borders_with_corners_of_one_side(spark):
+    shapes = {
+        "long": [(0, 0), (2, 0), (2, 1), (0, 1), (0, 0)],
+        "left": [(0, 1), (1, 1), (1, 2), (0, 2), (0, 1)],
+        "right": [(1, 1), (2, 1), (2, 2), (1, 2), (1, 1)],
+        "aside": [(2, 0.5), (3, 0.5), (3, 1.5), (2, 1.5), (2, 0.5)],
+        # A slope cut at its middle by two neighbours.
+        "slope": [(0, 2), (2, 2), (0, 4), (0, 2)],
+        "upper": [(2, 2), (2, 4), (1, 3), (2, 2)],
+        "lower": [(1, 3), (2, 4), (0, 4), (1, 3)],
+    }
+    rows = polygons(spark, [(k, [ring]) for k, ring in shapes.items()])
+    kept = [(0.5, 1), (1, 1), (1, 1.5), (1.5, 1), (1, 2), (2, 0.75), (2, 1.25), (1.5, 2.5), (1, 3), (0.5, 3.5), (1, 2.5), (1.5, 3.5)]
+    dropped = [(2, 0.5), (2, 0.25), (2, 1.5), (2, 1.75), (0, 1), (1, 0), (3, 1), (0, 2), (2, 3), (2, 4), (0, 3), (1, 4), (2, 2), (5, 5)]
+    pts = points(spark, kept + dropped)
+    for cell in (0.3, 0.7, 10.0):
+        got = {r.pid for r in spatial.clip_to_union(pts, rows, cell).collect()}
+        assert got == set(range(len(kept)))
+
+
 def test_distances(spark):
     df = spark.createDataFrame([(0.0, 0.0, 0.0, 1.0), (10.0, 50.0, 11.0, 50.5)], "a double, b double, c double, d double")
     rows = df.selectExpr(
