@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -21,6 +21,18 @@ def require_rows(df: DataFrame, name: str, threshold: int = 1) -> DataFrame:
     return df
 
 
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` whose rows are counted by the job that reads it, and the count to come."""
+    metrics = Observation(name)
+    return df.observe(metrics, F.count("*").alias("n_rows")), metrics
+
+
+def require_metrics(metrics: dict[str, int], name: str, threshold: int = 1) -> None:
+    """Fail unless more rows than ``threshold`` were counted; no second read."""
+    if metrics.get("n_rows", 0) <= threshold:
+        raise AuditError(f"{name}: {threshold} rows or fewer")
+
+
 def duplicate_keys(df: DataFrame, grain: list[str]) -> DataFrame:
     """Keys of the declared grain that occur more than once."""
     return df.groupBy(*grain).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")

@@ -12,7 +12,7 @@ from emberscope.operators import audits
 from emberscope.plans import ingest as ing
 from emberscope.session import scratch_path
 from emberscope.sources import detections as src
-from emberscope.sources import files, places, tables
+from emberscope.sources import files, places, tables, versions
 from emberscope.streaming.arrivals import land_new_files
 from emberscope.workload.catalog import cte, query
 from emberscope.workload.views import AS_OF, Views
@@ -179,6 +179,42 @@ def replaced_days(v: Views) -> DataFrame:
     )
 
 
+@query(
+    "INC1 INC5",
+    """
+    SELECT acq_date, count(*) AS n_rows, round(sum(CASE WHEN acq_date < DATE '2024-01-15' THEN 0 ELSE frp END), 4) AS frp
+    FROM det WHERE acq_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' AND acq_date != DATE '2024-01-17'
+    GROUP BY acq_date""",
+    "det",
+)
+def replaced_days_with_an_empty_day(v: Views) -> DataFrame:
+    """A second load of some days, one of them without records, shows in one step."""
+    path = scratch_path(v.spark, "versions")
+    feed = v.feed()
+    versions.replace_days(feed.withColumn("frp", F.lit(0.0)), path)
+    again = feed.filter("acq_date >= '2024-01-15' AND acq_date != '2024-01-17'")
+    versions.replace_days(again, path, (datetime.date(2024, 1, 15), AS_OF))
+    stored = versions.read_table(v.spark, path, datetime.date(2024, 1, 10), datetime.date(2024, 1, 20))
+    return stored.groupBy("acq_date").agg(
+        F.count("*").alias("n_rows"), F.round(F.sum("frp"), 4).alias("frp")
+    )
+
+
+@query(
+    "INC5 SRC5",
+    """
+    SELECT 'A' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS area_id,
+           (200005 + 1000 * (c_custkey % 100)) / CAST(10000 AS DOUBLE) AS xmin
+    FROM customer WHERE c_custkey % 3 = 0""",
+)
+def refreshed_polygons(v: Views) -> DataFrame:
+    """A full refresh: the second set of areas takes the place of the first."""
+    path = scratch_path(v.spark, "areas")
+    versions.refresh(v.areas(), path)
+    versions.refresh(v.areas().filter("CAST(substring(area_id, 2) AS BIGINT) % 3 = 0"), path)
+    return versions.read_table(v.spark, path).select("area_id", "xmin")
+
+
 @query(
     "INC2 INC3",
     """

@@ -7,10 +7,10 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberscope.config import ImageryParams
+from emberscope.config import Config, ImageryParams
 from emberscope.operators import imagery, regions
 from emberscope.operators.spatial import points_in_polygons, polygon_cover
-from emberscope.plans import marts
+from emberscope.plans import marts, project
 from emberscope.plans import validation as val
 from emberscope.plans.events import cluster_events
 from emberscope.session import cut_lineage, scratch_path
@@ -153,6 +153,24 @@ cte(
           FROM kept)""",
 )
 cte("event_rows", event_sql("kept_ev", "c.lon, c.lat"))
+# Scenes known from the start settle in the first try all that later tries could.
+cte(
+    "kept_once",
+    """
+    SELECT h.* FROM hits h JOIN det d USING (firms_id)
+    WHERE h.acq_date < DATE '2024-01-25'
+      AND NOT (h.cell % 10 = 0 AND d.dx BETWEEN 5 AND 445 AND d.dy BETWEEN 5 AND 445)""",
+)
+cte(
+    "once_ev",
+    """
+    SELECT * EXCLUDE (gap),
+           CAST(sum(CASE WHEN gap > 3 OR gap IS NULL THEN 1 ELSE 0 END)
+                OVER (PARTITION BY area_id ORDER BY acq_date) AS INTEGER) AS event_no
+    FROM (SELECT *, acq_date - lag(acq_date) OVER (PARTITION BY area_id ORDER BY acq_date) AS gap
+          FROM kept_once)""",
+)
+cte("once_events", "SELECT DISTINCT area_id, event_no FROM once_ev")
 _NEAR = f"""
     SELECT {{key}}, arg_min(name, (dist, name)) AS settlement_name,
            round(min(dist), 3) AS settlement_distance
@@ -438,3 +456,28 @@ def event_mart(v: Views) -> DataFrame:
 )
 def event_mart_settlement_per_area(v: Views) -> DataFrame:
     return _event_mart(v, "area")
+
+
+@query(
+    "AUD1 AUD3 INC5",
+    f"""
+    SELECT 'detections' AS table_name, count(*) AS n_rows FROM det
+    UNION ALL SELECT 'to_validate', count(*) FROM hits
+    UNION ALL SELECT 'validated', count(*) FROM kept_once
+    UNION ALL SELECT 'clustered', count(*) FROM once_events
+    UNION ALL SELECT 'nearest_places', count(*) FROM ({_NEAR.format(key='firms_id', source='kept_once', lon='lon', lat='lat')})
+    UNION ALL SELECT 'detection_mart', count(*) FROM kept_once k
+      JOIN adm ON k.lon BETWEEN x1 AND x2 AND k.lat BETWEEN y1 AND y2
+    UNION ALL SELECT 'event_mart', count(*) FROM (
+      SELECT avg(lon) AS lon, avg(lat) AS lat FROM (SELECT DISTINCT area_id, event_no, lon, lat FROM once_ev)
+      GROUP BY area_id, event_no) e JOIN adm ON e.lon BETWEEN x1 AND x2 AND e.lat BETWEEN y1 AND y2""",
+    "det hits kept_once once_ev once_events places adm",
+)
+def audited_tables(v: Views) -> DataFrame:
+    """The seven tables of a whole run, counted by the jobs that write them."""
+    cfg = Config("XXX", gadm_level=2, cell_deg=0.1, imagery=PARAMS, cluster_max_date_gap=3)
+    inputs = project.Inputs(
+        v.detections().select("firms_id", "acq_date", "lon", "lat"), v.admin(), v.settlements(), v.scenes(),
+        v.pixels(), v.buildings(), v.areas(), v.areas_exclude(),
+    )
+    return project.build(cfg, inputs, scratch_path(v.spark, "project"), datetime.date(2024, 1, 1), AS_OF, AS_OF)
