@@ -2,8 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as
 Parquet and read again as the next stage's ``docs``. All but the last return the columns
-of ``docs``. Rows are told apart by their place in the stored table, so null or repeated
-ids lose no rows (stage 3 decides by id: rows sharing one stay or go together). Empty
+of ``docs``. Rows are told apart by their place in the stored files, so null or repeated
+ids lose no rows, and a scan split another way finds the same rows (stage 3 decides by id: rows sharing one stay or go together). Empty
 tables pass through; extra columns stay.
 """
 
@@ -17,30 +17,31 @@ from pyspark.sql import functions as F
 from emberscope.llm import exact_dedup, jaccard_join, packing, quality
 from emberscope.llm import secret_scan as scans
 from emberscope.llm.queries import CAPACITY, vocabulary
-from emberscope.llm.storage import documents, stored, text_of
+from emberscope.llm.storage import documents, fresh, placed, stored, text_of
 from emberscope.session import broadcast_if_small
 
-_ROW = "__row"
+# Marked rows that are sent to every task; each carries the name of its file.
+FEW = 50_000
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(_ROW, F.monotonically_increasing_id())
-
-
-def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+def _without(docs: DataFrame, rows: DataFrame, at: str) -> DataFrame:
     """``docs`` without the given rows; they are broadcast only if measured to be few."""
-    return _numbered(docs).join(broadcast_if_small(stored(rows, "dropped")), _ROW, "left_anti").select(*docs.columns)
+    return docs.join(broadcast_if_small(stored(rows, "dropped"), FEW), at, "left_anti").drop(at)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the fixed limits and the robust estimate keep."""
-    return _without(docs, quality.judge(docs).filter(~F.col("kept")).select(F.col("row").alias(_ROW)))
+    at = fresh(docs, "__row")
+    rows = placed(docs, at)
+    return _without(rows, quality.judge(rows, at).filter(~F.col("kept")).select(F.col("row").alias(at)), at)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the smallest id."""
-    marks = exact_dedup.mark_duplicates(docs)
-    return _without(docs, marks.filter(~F.col("kept")).select(F.col("row").alias(_ROW)))
+    at = fresh(docs, "__row")
+    rows = placed(docs, at)
+    marks = exact_dedup.mark_duplicates(rows, row=at)
+    return _without(rows, marks.filter(~F.col("kept")).select(F.col("row").alias(at)), at)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,15 +53,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with every finding masked; ``n_chars`` follows the text."""
-    versions = _numbered(docs).select(F.col(_ROW).alias("path"), "text")
-    found = scans.scan_versions(versions)[0].filter(F.size("spans") > 0)
-    spans = stored(found.select(F.col("path").alias(_ROW), F.col("spans").alias("__spans")), "spans")
-    marked = _numbered(docs).join(broadcast_if_small(spans), _ROW, "left")
-    clean = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(scans.masked(text_of(), F.col("__spans")))
+    at, found = fresh(docs, "__row"), fresh(docs, "__spans")
+    rows = placed(docs, at)
+    versions = rows.select(F.col(at).alias("path"), "text")
+    spans = scans.scan_versions(versions)[0].filter(F.size("spans") > 0)
+    spans = stored(spans.select(F.col("path").alias(at), F.col("spans").alias(found)), "spans")
+    marked = rows.join(broadcast_if_small(spans, FEW), at, "left")
+    none = F.col(found).isNull()
+    clean = F.when(none, F.col("text")).otherwise(scans.masked(text_of(), F.col(found)))
     out = marked.withColumn("text", clean)
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(size))
+        out = out.withColumn("n_chars", F.when(none, F.col("n_chars")).otherwise(size))
     return out.select(*docs.columns)
 
 

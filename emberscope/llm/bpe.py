@@ -150,7 +150,7 @@ def encode(docs: DataFrame, vocabulary: str, outputs: tuple[str, ...] = ("ids",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, encoder = _loaded(sent.value)
         for batch in batches:
-            for a, b, ids, counts in encoder.chunks(batch.column(1).to_pylist()):
+            for a, b, ids, counts in encoder.chunks(batch.column(1)):
                 ends = np.cumsum(counts)
                 each = [ids[e - n : e] for e, n in zip(ends.tolist(), counts.tolist())]
                 made: dict[str, list] = {"n_tokens": counts.tolist()}

@@ -24,20 +24,21 @@ def content_hash(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def mark_duplicates(docs: DataFrame, hash_of=content_hash, key: str = "doc_id") -> DataFrame:
+def mark_duplicates(docs: DataFrame, hash_of=content_hash, key: str = "doc_id", row: str | None = None) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, row``.
 
-    ``row`` is ``monotonically_increasing_id()`` over ``docs``.
+    ``row`` names a column that tells the rows apart; by default they are numbered.
 
     Texts move once, in the grouping; ids and hashes are stored and joined to its result
     by hash. Where texts share a hash (``hash_of`` may be any function), their rows are
     joined by hash and text instead.
     """
-    texts = docs.select(F.col(key).alias("doc_id"), normalised(text_of()).alias("_text"))
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
+    texts = docs.select(F.col(key).alias("doc_id"), normalised(text_of()).alias("_text"), number.alias("_row"))
     hashed = hash_of(F.col("_text")).alias("_hash")
     rows = stored(
         texts.select(
-            "doc_id", hashed, F.sha2("_text", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("_row")
+            "doc_id", hashed, F.sha2("_text", 256).alias("text_sha256"), "_row"
         ),
         "hashes",
     )

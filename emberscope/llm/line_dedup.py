@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberscope.llm.storage import stored, text_of
+from emberscope.llm.storage import fresh, placed, stored, text_of
 from emberscope.session import broadcast_if_small
 
 RUN = 3
@@ -107,13 +107,14 @@ def drop_repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = WOR
     """``docs`` with repeated runs cut from ``text``, and ``n_lines``, ``n_removed``.
 
     Only the numbers of deleted lines are gathered, per document, and joined to the texts
-    they belong to; as long as those are measured to be few, no other text is moved. Rows are numbered by
-    ``monotonically_increasing_id()``, so ``docs`` should be a stored table.
+    they belong to; as long as those are measured to be few, no other text is moved. Rows are
+    told apart by their place in the stored files, which every scan finds the same.
     """
     docs = docs.drop("n_lines", "n_removed")
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    at = fresh(docs, "_row")
+    rows = placed(docs, at)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
-    texts = rows.select("_row", order.alias("_order"), text_of().alias("_text"))
+    texts = rows.select(F.col(at).alias("_row"), order.alias("_order"), text_of().alias("_text"))
     repeats = stored(repeated_windows(texts, run, words), "repeats")
     gone = repeats.select("_row", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("_line")).distinct()
     touched = broadcast_if_small(stored(repeats.select("_row").distinct(), "touched"))
@@ -137,8 +138,9 @@ def drop_repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = WOR
     count = F.expr(rf"size(filter(split(coalesce(cast(text as string), ''), '\n', -1), x -> x rlike '{_WORD}'))")
     others = [c for c in docs.columns if c != "text"]
     columns = [*others, "text", "n_lines", "n_removed"]
-    whole = rows.join(touched, "_row", "left_anti").withColumns(
+    touched, cut = touched.withColumnRenamed("_row", at), cut.withColumnRenamed("_row", at)
+    whole = rows.join(touched, at, "left_anti").withColumns(
         {"n_lines": count.cast("long"), "n_removed": F.lit(0).cast("long")}
     )
-    changed = rows.select("_row", *others).join(touched, "_row", "left_semi").join(cut, "_row")
+    changed = rows.select(at, *others).join(touched, at, "left_semi").join(cut, at)
     return whole.select(*columns).unionByName(changed.select(*columns))

@@ -210,7 +210,7 @@ ORACLES: dict[str, str] = {
     "op1_licence_scan": _licence_sql(),
     "op2_chat_format": _chat_sql(),
     "op4_exact_dedup": _EXACT,
-    "op6_line_dedup": _LINES,
+    "op6_line_dedup": _PASSAGES,
     "op6_passage_dedup": _PASSAGES,
     "op7_jaccard_join": _NEAR,
     "op8_secret_scan": _secret_sql(),

@@ -41,7 +41,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, kee
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(vocabulary)
         for batch in batches:
-            for a, _, ids, counts in encoder.chunks(batch.column(1).to_pylist()):
+            for a, _, ids, counts in encoder.chunks(batch.column(1)):
                 ends = np.cumsum(counts)
                 rows: list[int] = []
                 piece: list[int] = []

@@ -16,8 +16,10 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 CHUNK_CHARS = 600_000
 
 # The pre-token patterns of the two vocabulary files.
@@ -182,16 +184,18 @@ class BatchEncoder:
             ids = np.concatenate(pieces) if pieces else ids
         return ids, counts
 
-    def chunks(self, texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(first text, last text, ids, counts), each over about ``CHUNK_CHARS`` characters."""
+    def chunks(self, texts: pa.Array | list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first text, last text, ids, counts), each over about ``CHUNK_CHARS`` bytes of text.
+
+        Only the texts of one chunk are taken out of an Arrow array at a time.
+        """
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         a = size = 0
-        for b, t in enumerate(texts):
-            size += len(t)
-            if size >= CHUNK_CHARS:
-                yield a, b + 1, *self.encode(texts[a : b + 1])
-                a, size = b + 1, 0
-        if a < len(texts):
-            yield a, len(texts), *self.encode(texts[a:])
+        for b, n in enumerate(pc.binary_length(column).to_numpy().tolist(), 1):
+            size += n
+            if size >= CHUNK_CHARS or b == len(column):
+                yield a, b, *self.encode(column.slice(a, b - a).to_pylist())
+                a, size = b, 0
 
 
 @lru_cache(4)

@@ -88,17 +88,17 @@ def distance_bound(n: int, d: int) -> float:
     return low * d * (h * h - 1) / (h * (h - d))
 
 
-def statistics(docs: DataFrame) -> DataFrame:
+def statistics(docs: DataFrame, row: str | None = None) -> DataFrame:
     """Per row: ``doc_id, lang, source, row`` and the counts, from DataFrame functions alone.
 
-    ``row`` is ``monotonically_increasing_id()`` over ``docs``.
+    ``row`` names a column that tells the rows apart; by default they are numbered.
 
     Repeated three-word windows are found by hash: their hashes are sorted with their
     positions, and equal neighbours mark the words they cover. Only texts in which some
     hash occurs twice are sorted.
     """
-    row = F.monotonically_increasing_id().alias("row")
-    base = docs.select("doc_id", "lang", "source", row, text_of().alias("_text"))
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
+    base = docs.select("doc_id", "lang", "source", number.alias("row"), text_of().alias("_text"))
     split = base.select(
         "doc_id", "lang", "source", "row",
         F.expr(r"array_remove(split(_text, '[\\x20\\x09-\\x0D]+'), '')").alias("_words"),
@@ -236,9 +236,9 @@ def robust_distances(vectors: DataFrame, names: list[str], floors: list[float])
     return joined.withColumn("distance", _distance(names)).select(*vectors.columns, "distance", "bound")
 
 
-def judge(docs: DataFrame) -> DataFrame:
+def judge(docs: DataFrame, row: str | None = None) -> DataFrame:
     """Per row: the statistics, ``base_failed``, ``distance`` and ``kept``."""
-    counts = statistics(docs).withColumn(
+    counts = statistics(docs, row).withColumn(
         "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     )
     vectors = counts.select(

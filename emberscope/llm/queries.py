@@ -66,15 +66,14 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of three lines alone, as its SQL has them."""
-    cut = line_dedup.drop_repeated_lines(documents(spark, sf_dir), words=None)
+    """Repeated runs of three lines, shorter ones of many words, and whole short documents."""
+    cut = line_dedup.drop_repeated_lines(documents(spark, sf_dir))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(text_of(), 256).alias("text_sha256"))
 
 
 def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Also shorter runs of more than ``line_dedup.WORDS`` words, and whole short documents."""
-    cut = line_dedup.drop_repeated_lines(documents(spark, sf_dir))
-    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(text_of(), 256).alias("text_sha256"))
+    """The name that the whole of ``op6_line_dedup`` had at first."""
+    return op6_line_dedup(spark, sf_dir)
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

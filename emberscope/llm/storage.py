@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores added as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def placed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a column ``name`` that tells its rows apart: file and place in the file.
+
+    It is the same in every later job, however the scan is split then. That needs rows that
+    stand in Parquet files; any other frame is stored first.
+    """
+    nodes = re.findall(r"^[\s:+-]*(\w+)", df._jdf.queryExecution().analyzed().toString(), re.M)
+    if not set(nodes) <= {"Relation", "Project", "Filter"} or "_metadata" in df.columns:
+        df = stored(df, "placed")
+    return df.withColumn(name, F.struct("_metadata.file_path", "_metadata.row_index"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

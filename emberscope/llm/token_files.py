@@ -151,7 +151,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
         end = np.array([end_id], np.uint32)
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for a, b, ids, counts in encoder.chunks(batch.column(1).to_pylist()):
+            for a, b, ids, counts in encoder.chunks(batch.column(1)):
                 at = 0
                 for k, n in zip(names[a:b], counts.tolist()):
                     keys.append(k)

@@ -247,3 +247,44 @@ def test_fingerprints_of_odd_rows(spark):
     one = fp.fingerprint_documents(frame(spark, [(3, "ash and fire")])).collect()
     check_fingerprints(one, [(3, "ash and fire")])
     assert one[0]["near_next"] == 1.0
+
+
+def test_rows_keep_their_place_however_a_scan_is_split(spark, tmp_path, monkeypatch):
+    """Marks are made under one split of the scan and applied under another."""
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    from emberscope.llm import exact_dedup, line_dedup, secret_scan, storage
+
+    passage = "\n".join(f"line {i} of a passage that is long enough to be met again" for i in range(6))
+    texts = [f"text {i % 400} " + ("token = abcdef0123 " if i % 7 == 0 else "") for i in range(1000)]
+    rows = [(i, t + (passage if i % 50 == 0 else ""), 1, 77) for i, t in enumerate(texts)]
+    path = str(tmp_path / "docs")
+    given = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, _row int")
+    given.withColumn("__row", F.lit(88)).repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    split = "spark.sql.leafNodeDefaultParallelism"
+    real = storage.stored
+
+    def then_split(df, label):
+        out = real(df, label)
+        spark.conf.set(split, "7" if spark.conf.get(split) == "1" else "1")
+        return out
+
+    spark.conf.set(split, "1")
+    try:
+        for module in (corpus_pipeline, exact_dedup, line_dedup, secret_scan):
+            monkeypatch.setattr(module, "stored", then_split)
+        left = {r["text"]: r["doc_id"] for r in corpus_pipeline.exact_duplicates(spark, docs, "").collect()}
+        first: dict = {}
+        for i, t, *_ in rows:
+            first.setdefault(t, i)
+        assert left == first
+        masked = corpus_pipeline.secret_scan(spark, docs, "").collect()
+        assert len(masked) == 1000 and not any("abcdef0123" in r["text"] for r in masked)
+        assert {(r["_row"], r["__row"]) for r in masked} == {(77, 88)}
+        cut = line_dedup.drop_repeated_lines(docs).collect()
+        assert [r["doc_id"] for r in cut if "line 5 of" in r["text"]] == [0]
+        assert {(r["_row"], r["__row"]) for r in cut} == {(77, 88)} and len(cut) == 1000
+    finally:
+        spark.conf.unset(split)
