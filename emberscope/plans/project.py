@@ -43,10 +43,14 @@ class Inputs:
     exclude: DataFrame | None = None  # exclude_id, rings and box
 
 
-def _areas(spark: SparkSession, given: DataFrame | None, path: str | None, key: str) -> DataFrame:
+def _areas(spark: SparkSession, given: DataFrame | None, path: str | None, key: str, rejects: str) -> DataFrame:
+    """Areas as given, or read from ``path``; rejected ones of a read are kept in ``rejects``."""
     if given is not None:
         return given
-    return polygons.area_polygons(spark, path).withColumnRenamed("id", key)
+    usable, rejected = polygons.read_areas(spark, path)
+    if path is not None:
+        versions.refresh(rejected, rejects)
+    return usable.withColumnRenamed("id", key)
 
 
 def build(
@@ -78,8 +82,8 @@ def build(
         counts.append((name, done["n_rows"]))
         return stored
 
-    areas = _areas(spark, inputs.include, cfg.path_include, "area_id")
-    excluded = _areas(spark, inputs.exclude, cfg.path_exclude, "exclude_id")
+    areas = _areas(spark, inputs.include, cfg.path_include, "area_id", f"{path}/include_rejected")
+    excluded = _areas(spark, inputs.exclude, cfg.path_exclude, "exclude_id", f"{path}/exclude_rejected")
     include = polygon_cover(areas, ["area_id"], cfg.cell_deg)
     admin = polygon_cover(inputs.admin, cfg_names(cfg), cfg.cell_deg)
 

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import os
-import struct
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from emberscope.functions import geometry as g
 from emberscope.schemas import AREA
 from emberscope.session import cut_lineage, ship_package
+from emberscope.sources.wkb import decode, decode_wkb, encode_wkb
 
 GEOPACKAGE_SCHEMA_COLUMNS = "file_mtime double, wkb binary"
 
@@ -91,78 +90,11 @@ def wkb_of_geopackage(blob: bytes | None) -> bytes | None:
 
 
 def parts_of_wkb(wkb: bytes) -> list[list[list[dict[str, float]]]]:
-    """Polygon or multipolygon WKB as parts of rings of {x, y}."""
-    at = 0
-
-    def take(fmt: str):
-        nonlocal at
-        values = struct.unpack_from(fmt, wkb, at)
-        at += struct.calcsize(fmt)
-        return values
-
-    def header() -> tuple[str, int, int]:
-        order = "<" if take("B")[0] == 1 else ">"
-        code = take(order + "I")[0]
-        flags, kind = code >> 29, code & 0x1FFFFFFF
-        extra = (flags >> 2 & 1) + (flags >> 1 & 1)
-        if flags & 1:
-            take(order + "I")
-        dims = {0: 0, 1: 1, 2: 1, 3: 2}[kind // 1000]
-        return order, kind % 1000, 2 + max(extra, dims)
-
-    def polygon(order: str, dims: int):
-        rings = []
-        for _ in range(take(order + "I")[0]):
-            n = take(order + "I")[0]
-            flat = take(f"{order}{n * dims}d")
-            rings.append([{"x": flat[i], "y": flat[i + 1]} for i in range(0, n * dims, dims)])
-        return rings
-
-    order, kind, dims = header()
-    if kind == 3:
-        return [polygon(order, dims)]
-    if kind == 6:
-        out = []
-        for _ in range(take(order + "I")[0]):
-            inner_order, inner_kind, inner_dims = header()
-            if inner_kind != 3:
-                raise ValueError("multipolygon with a part that is no polygon")
-            out.append(polygon(inner_order, inner_dims))
-        return out
-    raise ValueError(f"not a polygon geometry: type {kind}")
-
-
-def wkb_of_rings(rings) -> bytes:
-    """Little-endian two-dimensional polygon WKB."""
-    out = [struct.pack("<BII", 1, 3, len(rings))]
-    for ring in rings:
-        flat = [v for p in ring for v in (p["x"], p["y"])]
-        out.append(struct.pack(f"<I{len(flat)}d", len(ring), *flat))
-    return b"".join(out)
-
-
-_RING = T.ArrayType(
-    T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
-)
-_PARTS = T.ArrayType(T.ArrayType(_RING))
-
-
-@F.pandas_udf(_PARTS)
-def decode_wkb(wkb: pd.Series) -> pd.Series:
-    """Null for anything that is no polygon, so that bad rows can be set aside."""
-
-    def parts(value):
-        try:
-            return None if value is None else parts_of_wkb(bytes(value))
-        except (ValueError, struct.error):
-            return None
-
-    return wkb.map(parts)
-
-
-@F.pandas_udf(T.BinaryType())
-def encode_wkb(rings: pd.Series) -> pd.Series:
-    return rings.map(lambda r: None if r is None else wkb_of_rings(r))
+    """One polygon or multipolygon as parts of rings of {x, y}."""
+    (parts,) = decode(pa.array([wkb], pa.binary())).to_pylist()
+    if parts is None:
+        raise ValueError("not a polygon geometry")
+    return [part["rings"] for part in parts]
 
 
 def read_geopackage(
@@ -179,16 +111,28 @@ def read_geopackage(
     return reader.load()
 
 
-def single_polygons(features: DataFrame, wkb: str = "wkb") -> DataFrame:
+def features_at(spark: SparkSession, path: str, layer: str, columns: list[str] = ()) -> DataFrame:
+    """Feature table with ``wkb`` and ``file_mtime``: Parquet, or a layer of a GeoPackage.
+
+    Parquet is read by every executor, so it is the form for a cluster.
+    """
+    if path.endswith(".gpkg") or ".gpkg." in path:
+        return read_geopackage(spark, path, layer, columns)
+    changed = F.unix_micros("_metadata.file_modification_time") / 1e6
+    return spark.read.parquet(path).select(*columns, changed.alias("file_mtime"), "wkb")
+
+
+def single_polygons(features: DataFrame, wkb: str = "wkb", content_id: str | None = None) -> DataFrame:
     """One row per part of each (multi)polygon: other columns, rings and box.
 
-    A geometry that is null or cannot be decoded keeps a row without rings, which
-    :func:`check_polygons` rejects.
+    ``content_id`` names a column for the md5 of the part's WKB. A geometry that is null or
+    cannot be decoded keeps a row without rings, which :func:`check_polygons` rejects.
     """
     ship_package(features.sparkSession)
     rest = [c for c in features.columns if c != wkb]
-    parts = features.select(*rest, F.explode_outer(decode_wkb(wkb)).alias("rings"))
-    return g.with_bounds(parts)
+    parts = features.select(*rest, F.explode_outer(decode_wkb(wkb)).alias("part"))
+    ids = [] if content_id is None else [F.md5("part.wkb").alias(content_id)]
+    return g.with_bounds(parts.select(*rest, *ids, F.col("part.rings").alias("rings")))
 
 
 def with_content_id(polygons: DataFrame, out: str = "id") -> DataFrame:
@@ -197,45 +141,69 @@ def with_content_id(polygons: DataFrame, out: str = "id") -> DataFrame:
     return polygons.withColumn(out, F.md5(encode_wkb("rings")))
 
 
+_AREA_COLUMNS = ("id", "rings", "xmin", "ymin", "xmax", "ymax", "file_mtime")
+
+
 def area_polygons(spark: SparkSession, path: str | None, layer: str = "areas") -> DataFrame:
-    """Include or exclude areas; no path means no areas."""
+    """Include or exclude areas; no path means no areas. See :func:`read_areas` for the rejected ones."""
+    return read_areas(spark, path, layer)[0]
+
+
+def read_areas(spark: SparkSession, path: str | None, layer: str = "areas") -> tuple[DataFrame, DataFrame]:
+    """(usable areas, rejected ones with a ``problem``) of a feature table."""
     if path is None:
-        return spark.createDataFrame([], AREA)
-    usable, _ = checked_areas(read_geopackage(spark, path, layer))
-    return usable.select("id", "rings", "xmin", "ymin", "xmax", "ymax", "file_mtime")
+        none = spark.createDataFrame([], AREA)
+        return none, none.withColumn("problem", F.lit(None).cast("string"))
+    usable, rejected = checked_areas(features_at(spark, path, layer))
+    return usable.select(*_AREA_COLUMNS), rejected.select(*_AREA_COLUMNS[1:], "problem")
 
 
 def checked_areas(features: DataFrame, wkb: str = "wkb") -> tuple[DataFrame, DataFrame]:
     """(usable polygons with their content id, rejected ones with a ``problem``).
 
     Takes any table with a WKB column. Together the two hold every part of every
-    feature; polygons that cross themselves are rejected as well.
+    feature; polygons that cross themselves are rejected as well. Features are decoded
+    once: both halves come from the stored parts.
     """
-    valid, rejected = check_polygons(single_polygons(features, wkb))
-    valid = cut_lineage(with_content_id(valid))
+    parts = cut_lineage(single_polygons(features, wkb, "id"))
+    valid, rejected = check_polygons(parts)
     crossing = cut_lineage(self_crossings(valid, "id"))
-    crossed = valid.join(crossing, "id", "left_semi").drop("id").withColumn("problem", F.lit("crosses itself"))
-    return valid.join(crossing, "id", "left_anti"), rejected.unionByName(crossed)
+    crossed = valid.join(crossing, "id", "left_semi").withColumn("problem", F.lit("crosses itself"))
+    return valid.join(crossing, "id", "left_anti"), rejected.unionByName(crossed).drop("id")
 
 
 def admin_polygons(spark: SparkSession, path: str, level: int) -> DataFrame:
     """Administrative areas of one level with the names down to it."""
+    return read_admin(spark, path, level)[0]
+
+
+def read_admin(spark: SparkSession, path: str, level: int) -> tuple[DataFrame, DataFrame]:
+    """(administrative areas, rejected ones with a ``problem``) of a feature table."""
     if level not in (1, 2, 3):
         raise ValueError("gadm_level must be 1, 2 or 3")
     names = [f"NAME_{n}" for n in range(1, level + 1)]
-    features = read_geopackage(spark, path, f"ADM_ADM_{level}", ["GID_0", *names])
+    return admin_areas(features_at(spark, path, f"ADM_ADM_{level}", ["GID_0", *names]), level)
+
+
+def admin_areas(features: DataFrame, level: int, wkb: str = "wkb") -> tuple[DataFrame, DataFrame]:
+    """(areas with their names, rows whose geometry is missing, empty or no polygon).
+
+    Takes any table with ``GID_0``, ``NAME_1`` and on, and a WKB column.
+    """
+    ship_package(features.sparkSession)
     parts = features.select(
         F.col("GID_0").alias("country_id"),
         *[F.col(f"NAME_{n}").alias(f"gadm_{n}") for n in range(1, level + 1)],
-        F.flatten(decode_wkb("wkb")).alias("rings"),
+        F.flatten(F.transform(decode_wkb(wkb), lambda p: p["rings"])).alias("rings"),
     )
     # Parts of one area do not overlap, so even-odd counting over all their rings
     # keeps the area one row.
-    return g.with_bounds(parts)
-
-
-def save_polygons(polygons: DataFrame, path: str) -> None:
-    polygons.write.mode("overwrite").parquet(path)
+    boxed = cut_lineage(g.with_bounds(parts))
+    usable = F.coalesce(F.size("rings"), F.lit(0)) > 0
+    rejected = boxed.filter(~usable).withColumn(
+        "problem", F.when(F.col("rings").isNull(), "no polygon").otherwise("empty")
+    )
+    return boxed.filter(usable), rejected
 
 
 def self_crossings(

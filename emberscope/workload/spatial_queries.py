@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from emberscope.functions import geometry as g
 from emberscope.operators import spatial
 from emberscope.operators.nearest import nearest_settlement
+from emberscope.session import scratch_path
+from emberscope.sources import polygons
 from emberscope.workload.catalog import haversine, query
 from emberscope.workload.views import Views
 
@@ -267,3 +269,69 @@ def self_crossing_areas(v: Views) -> DataFrame:
         ),
     )
     return self_crossings(bent, "area_id")
+
+
+@query(
+    "SRC5 SRC7 SRC9 SRC10 GEO9",
+    """
+    SELECT (200000 + 1000 * (c_custkey % 100) + 5) / CAST(10000 AS DOUBLE) AS xmin,
+           (1000 * (c_custkey // 100) + 5) / CAST(10000 AS DOUBLE) AS ymin,
+           (200000 + 1000 * (c_custkey % 100) + CASE part WHEN 0 THEN 895 ELSE 445 END) / CAST(10000 AS DOUBLE) AS xmax,
+           (1000 * (c_custkey // 100) + CASE WHEN part = 1 THEN 445 WHEN c_custkey % 3 = 1 THEN 885 ELSE 895 END)
+             / CAST(10000 AS DOUBLE) AS ymax,
+           CAST(CASE WHEN part = 0 AND c_custkey % 3 = 2 THEN 2 ELSE 1 END AS INTEGER) AS n_rings,
+           2 - part AS n_parts, true AS dated
+    FROM customer, (VALUES (0), (1)) p(part)""",
+)
+def areas_from_wkb(v: Views) -> DataFrame:
+    """Areas of a Parquet feature table, by content id: parts of one or more features."""
+    path = scratch_path(v.spark, "area-features")
+    v.area_features().select("wkb").write.parquet(path)
+    usable, _ = polygons.read_areas(v.spark, path)
+    return (
+        usable.groupBy("id")
+        .agg(
+            *[F.min(c).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")],
+            F.min(F.size("rings")).alias("n_rings"),
+            F.count("*").cast("int").alias("n_parts"),
+            (F.min("file_mtime") > 0).alias("dated"),
+        )
+        .drop("id")
+    )
+
+
+@query(
+    "SRC5 SRC7 SRC8",
+    """
+    SELECT 'A' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS area_id, problem
+    FROM customer JOIN (VALUES (0, NULL), (1, 'empty'), (2, 'empty'), (3, 'empty'), (4, 'ring not closed'),
+                               (5, 'crosses itself'), (6, NULL), (6, 'ring not closed')) d(damage, problem)
+      ON c_custkey % 7 = damage""",
+)
+def rejected_polygons(v: Views) -> DataFrame:
+    """Every part of every feature, with the reason why it is set aside or none."""
+    usable, rejected = polygons.checked_areas(v.damaged_features())
+    none = F.lit(None).cast("string").alias("problem")
+    return usable.select("area_id", none).unionByName(rejected.select("area_id", "problem"))
+
+
+@query(
+    "SRC4 JOIN2",
+    """
+    SELECT d.firms_id, 'XXX' AS country_id, a.gadm_1, a.gadm_2, NULL AS problem
+    FROM det d JOIN adm a ON d.lon BETWEEN a.x1 AND a.x2 AND d.lat BETWEEN a.y1 AND a.y2 AND a.y1 != 3
+    UNION ALL SELECT NULL, 'XXX', gadm_1, gadm_2, 'no polygon' FROM adm WHERE y1 = 3""",
+    "det adm",
+)
+def admin_from_wkb(v: Views) -> DataFrame:
+    """Detections by areas of a Parquet feature table, and the areas that cannot be decoded."""
+    path = scratch_path(v.spark, "admin-features")
+    v.admin_features().write.parquet(path)
+    areas, rejected = polygons.read_admin(v.spark, path, 2)
+    names = ["country_id", "gadm_1", "gadm_2"]
+    cover = spatial.polygon_cover(areas, names, small_edges=None)
+    points = v.detections().select("firms_id", "lon", "lat")
+    found = spatial.points_in_polygons(points, cover).select("firms_id", *names)
+    return found.withColumn("problem", F.lit(None).cast("string")).unionByName(
+        rejected.select(F.lit(None).cast("long").alias("firms_id"), *names, "problem")
+    )

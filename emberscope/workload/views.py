@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from emberscope.functions import geometry as g
 from emberscope.operators.spatial import PolygonCover, points_in_polygons, polygon_cover
+from emberscope.session import ship_package
+from emberscope.sources.wkb import encode_wkb
 
 AS_OF = datetime.date(2024, 2, 5)
 PIXEL_HALF_SIZE = 0.0005
@@ -22,6 +24,7 @@ RECTANGLE = ((5, 5), (895, 5), (895, 895), (5, 895), (5, 5))
 TRIANGLE = ((5, 5), (895, 5), (5, 885), (5, 5))
 HOLE = ((305, 305), (305, 605), (605, 605), (605, 305), (305, 305))
 QUARTER = ((5, 5), (445, 5), (445, 445), (5, 445), (5, 5))
+BOW = ((5, 5), (895, 895), (895, 5), (5, 445), (5, 5))
 
 
 class Views:
@@ -109,6 +112,36 @@ class Views:
             )
         )
 
+    def area_features(self) -> DataFrame:
+        """Two features of each area: with its lower-left quarter as a second part, and alone."""
+        areas = _with_wkb(self.areas(), wkb="rings", quarter=f"array({_ring(_CELL, QUARTER)})")
+        return areas.selectExpr(
+            "area_id",
+            f"explode(array({_multi_wkb('wkb', 'quarter')}, wkb)) AS wkb",
+        )
+
+    def damaged_features(self) -> DataFrame:
+        """Areas with a geometry that is fine, or has one of six kinds of damage, by cell."""
+        opened = "transform(rings, r -> concat(slice(r, 1, size(r) - 1), array(r[1])))"
+        made = _with_wkb(
+            self.areas(), wkb="rings", opened=opened, bow=f"array({_ring(_CELL, BOW)})"
+        )
+        return made.selectExpr(
+            "area_id",
+            f"CASE {_CELL} % 7 WHEN 0 THEN wkb WHEN 2 THEN substring(wkb, 1, length(wkb) - 1)"
+            f" WHEN 3 THEN {POINT_WKB} WHEN 4 THEN opened WHEN 5 THEN bow"
+            f" WHEN 6 THEN {_multi_wkb('wkb', 'opened')} END AS wkb",
+        )
+
+    def admin_features(self) -> DataFrame:
+        """GID_0, NAME_1, NAME_2 and wkb of the bands; those from 3 to 6 degrees are cut short."""
+        return _with_wkb(self.admin(2), wkb="rings").selectExpr(
+            "country_id AS GID_0",
+            "gadm_1 AS NAME_1",
+            "gadm_2 AS NAME_2",
+            f"CASE WHEN ymin = 3 THEN substring(wkb, 1, 40) WHEN ymin = 6 THEN {_multi_wkb('wkb')} ELSE wkb END AS wkb",
+        )
+
     def admin(self, level: int = 2) -> DataFrame:
         """Strips of 2 degrees by region, cut into bands of 3 degrees by nation."""
         regions = self.table("region").selectExpr("r_regionkey", "r_name AS gadm_1")
@@ -244,6 +277,22 @@ class Views:
         )
 
 
+_CELL = "CAST(substring(area_id, 2) AS BIGINT)"
+# Little-endian WKB of the position (0, 0).
+POINT_WKB = "unhex(concat('0101000000', repeat('00', 16)))"
+
+
+def _with_wkb(polygons: DataFrame, **rings: str) -> DataFrame:
+    """Add a WKB column for each expression that gives rings."""
+    ship_package(polygons.sparkSession)
+    return polygons.withColumns({name: encode_wkb(F.expr(value)) for name, value in rings.items()})
+
+
+def _multi_wkb(*parts: str) -> str:
+    """A multipolygon of up to 255 parts that are WKB columns."""
+    return f"concat(unhex('0106000000{len(parts):02x}000000'), {', '.join(parts)})"
+
+
 def area_name(key: str) -> str:
     return f"concat('A', lpad(CAST({key} AS STRING), 9, '0'))"
 

@@ -263,3 +263,66 @@ def test_audits(spark):
 def test_table_names(spark):
     spark.range(1).createOrReplaceTempView("some_view")
     assert "some_view" in tables.table_names(spark, "default")
+
+
+def test_columnar_wkb_against_struct():
+    import random
+
+    import pyarrow as pa
+
+    from emberscope.sources.wkb import decode, encode
+
+    rnd = random.Random(5)
+
+    def packed(rings, order="<", code=3, dims=2, srid=False):
+        head = struct.pack(order + "BI", order == "<", code | (0x20000000 if srid else 0))
+        out = head + (struct.pack(order + "I", 4326) if srid else b"") + struct.pack(order + "I", len(rings))
+        for ring in rings:
+            out += struct.pack(order + "I", len(ring))
+            out += b"".join(struct.pack(f"{order}{dims}d", *p, *[7.0] * (dims - 2)) for p in ring)
+        return out
+
+    def polygon():
+        return [[(rnd.random(), rnd.random()) for _ in range(rnd.randint(0, 5))] for _ in range(rnd.randint(0, 3))]
+
+    values, want = [], []
+    for _ in range(600):
+        order = rnd.choice("<>")
+        code, dims = rnd.choice([(3, 2), (1003, 3), (0x80000003, 3), (3003, 4), (0xC0000003, 4)])
+        parts = [polygon() for _ in range(rnd.randint(0, 3))]
+        one = packed(polygon() + [[(1.0, 2.0)]])
+        value, expected = rnd.choice(
+            [
+                (None, None), (b"", None), (b"\x01\x03", None), (one[:-1], None), (b"\x02" + one[1:], None),
+                (struct.pack("<BIdd", 1, 1, 0.0, 0.0), None), (struct.pack("<BII", 1, 6, 4_000_000_000), None),
+                (struct.pack("<BII", 1, 3, 4_000_000_000), None),
+                (b"".join([struct.pack(order + "BII", order == "<", 6, len(parts))] + [packed(p, "<", code, dims) for p in parts]), parts),
+                *[(packed(p, order, code, dims, rnd.random() < 0.5), [p]) for p in parts],
+            ]
+        )
+        values.append(value)
+        want.append(expected)
+    whole = pa.array(values, pa.binary())
+    for array, expected in ((whole, want), (whole.slice(7, 200), want[7:207]), (whole.slice(0, 0), [])):
+        got = decode(array).to_pylist()
+        assert [g and [[[(p["x"], p["y"]) for p in r] for r in part["rings"]] for part in g] for g in got] == expected
+        assert [g and [part["wkb"] for part in g] for g in got] == [x and [packed(p) for p in x] for x in expected]
+        rings = [None if g is None or not g else g[0]["rings"] for g in got]
+        kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+        assert encode(pa.array(rings, kind)).to_pylist() == [x[0] if (x := g and [p["wkb"] for p in g]) else None for g in got]
+
+
+def test_feature_tables_keep_what_they_reject(spark, tmp_path):
+    path = str(tmp_path / "features")
+    multi = struct.pack("<BII", 1, 6, 2) + wkb([SQUARE]) + wkb([OPEN])
+    rows = [("SDN", "One", "Two", bytearray(multi)), ("SDN", "One", None, None), ("SDN", None, "x", bytearray(b"junk"))]
+    spark.createDataFrame(rows, "GID_0 string, NAME_1 string, NAME_2 string, wkb binary").write.parquet(path)
+    usable, rejected = polygons.read_areas(spark, path)
+    assert [r.id for r in usable.collect()] == [hashlib.md5(wkb([SQUARE])).hexdigest()]
+    assert sorted(r.problem for r in rejected.collect()) == ["empty", "empty", "ring not closed"]
+    areas, bad = polygons.read_admin(spark, path, 2)
+    assert [(r.gadm_2, len(r.rings)) for r in areas.collect()] == [("Two", 2)]
+    assert sorted((r.gadm_2 or "", r.problem) for r in bad.collect()) == [("", "no polygon"), ("x", "no polygon")]
+    none = spark.createDataFrame([], "wkb binary")
+    assert [df.count() for df in polygons.checked_areas(none)] == [0, 0]
+    assert [df.count() for df in polygons.read_areas(spark, None)] == [0, 0]
