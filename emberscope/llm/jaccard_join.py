@@ -31,17 +31,19 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberscope.llm.components import components
-from emberscope.llm.shingles import mix, shingle_sets
+from emberscope.llm.shingles import CHUNK_BYTES, mix, shingle_sets
 from emberscope.llm.storage import stored, text_of
 from emberscope.session import broadcast_if_small, ship_package
 
@@ -49,6 +51,8 @@ from emberscope.session import broadcast_if_small, ship_package
 SMALL, SMALL_PARTNER = 24, 28
 HOT = 4
 MEMBERS_TOGETHER = 2_000
+# Signatures that are laid together before they are shuffled, 16 bytes each.
+SIGNATURES_TOGETHER = 1_000_000
 
 _U = np.uint64
 
@@ -71,10 +75,21 @@ def shape(band: int) -> tuple[int, int]:
     return base + spare, spare
 
 
-def signatures(tokens: np.ndarray, mixed: np.ndarray, band: int) -> tuple[np.ndarray, bool]:
-    """Signatures of a sorted set in a band, and whether the set is left over."""
+def _segments(tokens: np.ndarray, groups: int) -> np.ndarray:
+    return ((tokens >> _U(32)) * _U(2 * groups) >> _U(32)).astype(np.int64)
+
+
+def left_over(tokens: np.ndarray, band: int) -> bool:
+    """Whether too many groups of a set hold one shingle or none for its signatures to suffice."""
     groups, spare = shape(band)
-    segment = ((tokens >> _U(32)) * _U(2 * groups) >> _U(32)).astype(np.int64)
+    size = np.bincount(_segments(tokens, groups), minlength=2 * groups)
+    return int((size.reshape(-1, 2).sum(1) <= 1).sum()) > spare
+
+
+def signatures(tokens: np.ndarray, mixed: np.ndarray, band: int) -> np.ndarray:
+    """Signatures of a sorted set in a band."""
+    groups, _ = shape(band)
+    segment = _segments(tokens, groups)
     size = np.bincount(segment, minlength=2 * groups)
     full = np.flatnonzero(size)
     sums = np.zeros(2 * groups, np.uint64)
@@ -88,7 +103,7 @@ def signatures(tokens: np.ndarray, mixed: np.ndarray, band: int) -> tuple[np.nda
     if lonely.any():
         own = lonely[segment]
         out.append(mix(sums[segment[own]] - mixed[own] + name[segment[own]]))
-    return np.concatenate(out), int((pair.sum(1) <= 1).sum()) > spare
+    return np.concatenate(out)
 
 
 def sketch(tokens: np.ndarray) -> bytes:
@@ -105,43 +120,76 @@ def can_be_similar(a: np.ndarray, b: np.ndarray, n: int) -> bool:
     return 9 * int(np.abs(x - y).sum()) <= n
 
 
+def _bands_of(n: int) -> tuple[int, ...]:
+    """The bands that a set of ``n`` shingles joins."""
+    if n < SMALL:
+        return ()
+    own = bisect.bisect_right(bands(), n) - 1
+    return (own, own - 1)[: 1 + (own > 0)]
+
+
+def _sets(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """(ids, shingle sets) of the rows (id, text), taken out of Arrow a few texts at a time."""
+    texts = batch.column(1).cast(pa.binary())
+    a = size = 0
+    for b, n in enumerate(pc.binary_length(texts).to_numpy().tolist(), 1):
+        size += n
+        if size >= CHUNK_BYTES or b == len(texts):
+            yield batch.column(0).slice(a, b - a), list(shingle_sets(texts.slice(a, b - a).to_pylist()))
+            a, size = b, 0
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    edges = np.array(bands())
     for batch in batches:
-        rows = batch.column(0)
-        texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
-        n, first, second, rest, counts, made, sketches = [], [], [], [], [], [], []
-        for tokens in shingle_sets(texts):
-            digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
-            n.append(len(tokens))
-            first.append(int.from_bytes(digest[:8], "little", signed=True))
-            second.append(int.from_bytes(digest[8:], "little", signed=True))
-            left, count = 0 < len(tokens) <= SMALL_PARTNER, 0
-            sketches.append(sketch(tokens))
-            if len(tokens) >= SMALL:
+        for rows, sets in _sets(batch):
+            digests = [hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() for tokens in sets]
+            halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            rest = [
+                0 < len(tokens) <= SMALL_PARTNER or any(left_over(tokens, band) for band in _bands_of(len(tokens)))
+                for tokens in sets
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows,
+                    pa.array([len(tokens) for tokens in sets], pa.int64()),
+                    pa.array(np.ascontiguousarray(halves[:, 0])),
+                    pa.array(np.ascontiguousarray(halves[:, 1])),
+                    pa.array(rest, pa.bool_()),
+                    pa.array([sketch(tokens) for tokens in sets], pa.binary()),
+                ],
+                names=["id", "n", "d1", "d2", "rest", "sketch"],
+            )
+
+
+def _signed(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, sigs, ids): the signatures of many sets, laid together by bucket of the signature."""
+    sigs: list[np.ndarray] = []
+    ids: list[np.ndarray] = []
+    held = 0
+
+    def packed() -> pa.RecordBatch:
+        sig, owner = np.concatenate(sigs), np.concatenate(ids)
+        bucket = ((sig >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        offsets = pa.array(np.concatenate([first, [len(bucket)]]), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[order])) for x in (sig.view(np.int64), owner)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first]), *lists], names=["bucket", "sigs", "ids"])
+
+    for batch in batches:
+        for rows, sets in _sets(batch):
+            for i, tokens in zip(rows.to_pylist(), sets):
                 mixed = mix(tokens + _U(0x2545F4914F6CDD1D))
-                own = int(np.searchsorted(edges, len(tokens), "right")) - 1
-                for band in (own, own - 1)[: 1 + (own > 0)]:
-                    found, over = signatures(tokens, mixed, band)
-                    made.append(found)
-                    count += len(found)
-                    left |= over
-            rest.append(left)
-            counts.append(count)
-        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        flat = np.concatenate(made).view(np.int64) if made else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [
-                rows,
-                pa.array(n, pa.int64()),
-                pa.array(first, pa.int64()),
-                pa.array(second, pa.int64()),
-                pa.array(rest, pa.bool_()),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                pa.array(sketches, pa.binary()),
-            ],
-            names=["id", "n", "d1", "d2", "rest", "sigs", "sketch"],
-        )
+                for band in _bands_of(len(tokens)):
+                    sigs.append(signatures(tokens, mixed, band))
+                    ids.append(np.full(len(sigs[-1]), i, np.int64))
+                    held += len(sigs[-1])
+            if held >= SIGNATURES_TOGETHER:
+                yield packed()
+                sigs, ids, held = [], [], 0
+    if held:
+        yield packed()
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,8 +212,24 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def stars(entries: DataFrame) -> DataFrame:
     """Every (sig, id) but the least of its signature, with that least id."""
-    ordered = entries.repartition("sig").sortWithinPartitions("sig", "id")
-    return ordered.mapInArrow(_stars, "sig long, pivot long, id long")
+    return _ordered_stars(entries.repartition("sig"))
+
+
+def _ordered_stars(entries: DataFrame) -> DataFrame:
+    """As ``stars``, over entries whose equal signatures are in one partition."""
+    return entries.sortWithinPartitions("sig", "id").mapInArrow(_stars, "sig long, pivot long, id long")
+
+
+def signature_stars(rows: DataFrame) -> DataFrame:
+    """The stars of the signatures of all sets, ``rows`` being (id, text).
+
+    Nearly all signatures belong to one set and serve only to find that out, so they are
+    never stored, and cross the shuffle in lists by bucket, without a row for each.
+    """
+    buckets = 8 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lists = rows.mapInArrow(lambda batches: _signed(batches, buckets), "bucket int, sigs array<long>, ids array<long>")
+    moved = lists.repartition("bucket").select(F.inline(F.arrays_zip("sigs", "ids"))).toDF("sig", "id")
+    return _ordered_stars(moved)
 
 
 def _pairs_of(batches: Iterator[pa.RecordBatch], read, similar) -> Iterator[pa.RecordBatch]:
@@ -262,15 +326,15 @@ def _across(held: DataFrame, reach: DataFrame | None) -> DataFrame:
 
 
 def resolve(
-    entries: DataFrame, links: DataFrame, rows: DataFrame, sizes: DataFrame, copies: DataFrame, hot: int | None,
+    star: DataFrame, links: DataFrame, rows: DataFrame, sizes: DataFrame, copies: DataFrame, hot: int | None,
     reach: DataFrame | None = None,
 ):
     """Links among sets that share a signature, and ids of sets with a hot one.
 
-    ``links`` are known already; ``copies`` lists ids whose set an earlier id has;
+    ``star`` is what ``stars`` gives; ``links`` are known already; ``copies`` lists ids whose set an earlier id has;
     ``reach`` is as in ``_across``.
     """
-    star = stored(stars(entries).join(copies, "id", "left_anti").select("sig", "pivot", "id"), "stars")
+    star = stored(star.join(copies, "id", "left_anti").select("sig", "pivot", "id"), "stars")
     pairs = stored(star.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     links = stored(links.unionByName(verify(pairs, rows, sizes)), "links")
     labels = stored(components(links), "labels")
@@ -339,7 +403,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
         kept = stored(docs.select("doc_id", text_of().alias("text"), F.monotonically_increasing_id().alias("id")), "rows")
         rows = kept.select("id", "text")
     table = stored(
-        rows.mapInArrow(_fingerprints, "id long, n long, d1 long, d2 long, rest boolean, sigs array<long>, sketch binary"), "sets"
+        rows.mapInArrow(_fingerprints, "id long, n long, d1 long, d2 long, rest boolean, sketch binary"), "sets"
     )
     sizes = table.select("id", "n", "sketch")
     worded = table.filter("n > 0")
@@ -349,14 +413,13 @@ def link_documents(docs: DataFrame) -> DataFrame:
     )
     copies = equal.select(F.col("b").alias("id"))
     none = spark.createDataFrame([], "a long, b long")
-    entries = worded.select("id", F.explode("sigs").alias("sig")).select("sig", "id")
-    links, hot = resolve(entries, none, rows, sizes, copies, HOT)
+    links, hot = resolve(signature_stars(rows), none, rows, sizes, copies, HOT)
     over = stored(
         table.filter("rest").select("id").unionByName(hot).distinct().join(copies, "id", "left_anti"), "rest"
     )
     rest_rows = stored(rows.join(broadcast_if_small(over), "id"), "rest")
     rare = stored(prefixes(rest_rows), "rare")
-    links, _ = resolve(rare.select("sig", "id"), links, rest_rows, sizes, none.select(F.col("a").alias("id")), None, rare)
+    links, _ = resolve(stars(rare.select("sig", "id")), links, rest_rows, sizes, none.select(F.col("a").alias("id")), None, rare)
     labels = components(links.unionByName(equal))
     out = _labelled(table.select("id", "n"), labels, "id", "component")
     if plain:
