@@ -9,8 +9,9 @@ shard has before them, so the start of a document over all files follows from th
 of the shards. Spark's writer commits blocks, so a lost task leaves nothing behind.
 
 Null and empty texts hold only the end id. Rows with the same key lie next to each other
-and share a slot; null keys come first, under a key of their own. Extra columns are
-ignored, and an empty table gives files without blocks.
+and share a slot; null keys come first, under a key of their own and in blocks of their
+own. A text of any length is one document. Extra columns are ignored, and an empty table
+gives files without blocks.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from emberscope.session import broadcast_if_small, ship_package
 # Characters of text in a shard, ids in a block; a longer document is a block by itself.
 SHARD_CHARS = 24_000_000
 BLOCK_IDS = 250_000
+# Rows in a block, which bounds the work for its index where texts are short.
+BLOCK_ROWS = 8_192
 
 BLOCK = (
     "shard int, block int, before long, n_ids long, first_key string, last_key string, keys array<string>,"
@@ -77,15 +80,16 @@ def build_index(keys: list[str]) -> tuple[list[int], list[int]]:
 
 
 class Block:
-    """One block read back."""
-
-    def __init__(self, row: dict):
-        self.row = row
-        self.pilots = np.frombuffer(row["pilots"], "<u4")
-        self.fingerprints = np.frombuffer(row["fingerprints"], "<u4")
-        self.rows = np.frombuffer(row["rows"], "<i8").reshape(-1, 2)
-        self.lengths = np.frombuffer(row["lengths"], "<i8")
+    """One block read back: views of the buffers of its row, no copies."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int):
+        view = lambda c, kind: np.frombuffer(batch.column(c)[i].as_buffer(), kind)
+        self.start = batch.column("start")[i].as_py()
+        self.pilots, self.fingerprints = view("pilots", "<u4"), view("fingerprints", "<u4")
+        self.rows = view("rows", "<i8").reshape(-1, 2)
+        self.lengths = view("lengths", "<i8")
         self.starts = np.cumsum(self.lengths) - self.lengths
+        self.ids = view("ids", "<u4")
 
     def find(self, key: str) -> list[tuple[int, int]]:
         """(start in the block, number of ids) of each row under ``key``."""
@@ -97,8 +101,8 @@ class Block:
         first, count = self.rows[s].tolist()
         return [(int(self.starts[i]), int(self.lengths[i])) for i in range(first, first + count)]
 
-    def payload(self, start: int, length: int) -> bytes:
-        return self.row["ids"][4 * start : 4 * (start + length)]
+    def payload(self, start: int, length: int) -> np.ndarray:
+        return self.ids[start : start + length]
 
 
 def _block(shard: int, block: int, before: int, keys: list[str], parts: list[np.ndarray]) -> pa.RecordBatch:
@@ -154,6 +158,9 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
             for a, b, ids, counts in encoder.chunks(batch.column(1)):
                 at = 0
                 for k, n in zip(names[a:b], counts.tolist()):
+                    if len(keys) >= BLOCK_ROWS or (keys and keys[-1] == _NULL_KEY != k):
+                        yield _block(shard, block, before, keys, parts)
+                        block, before, size, keys, parts = block + 1, before + size, 0, [], []
                     keys.append(k)
                     parts.append(np.concatenate([ids[at : at + n], end]))
                     at, size = at + n, size + n + 1
@@ -181,20 +188,19 @@ def blocks(spark: SparkSession, path: str) -> DataFrame:
 def _answers(batches: Iterator[pa.RecordBatch], wanted: str, key_type: pa.DataType, keep_ids: bool):
     for batch in batches:
         for i in range(batch.num_rows):
-            row = batch.slice(i, 1).to_pylist()[0]
-            block = Block(row)
-            found = [(k, s, n) for k in row[wanted] for s, n in block.find(k)]
+            block = Block(batch, i)
+            found = [(k, s, n) for k in batch.column(wanted)[i].as_py() for s, n in block.find(k)]
             raw = [block.payload(s, n) for _, s, n in found]
             keys = pa.array([None if k == _NULL_KEY else k for k, _, _ in found], pa.string())
             columns = [
                 keys.cast(key_type),
-                pa.array([row["start"] + s for _, s, _ in found], pa.int64()),
+                pa.array([block.start + s for _, s, _ in found], pa.int64()),
                 pa.array([n for _, _, n in found], pa.int64()),
                 pa.array([zlib.crc32(x) for x in raw], pa.int64()),
             ]
             names = ["doc_id", "start", "n_tokens", "ids_crc32"]
             if keep_ids:
-                columns.append(pa.array([np.frombuffer(x, "<i4") for x in raw], pa.list_(pa.int32())))
+                columns.append(pa.array([x.view("<i4") for x in raw], pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -217,13 +223,14 @@ def look_up(keys: DataFrame, path: str, key: str = "doc_id", keep_ids: bool = Tr
     """The documents under the given keys; keys without documents give no row.
 
     A key is a candidate of the blocks whose range holds it; keys are gathered per block,
-    so a block is read once. Keys must be of an integer type and are taken once each.
+    so a block is read once. Keys must be of an integer type and are taken once each; a null
+    among them finds nothing.
     """
     spark = keys.sparkSession
     ship_package(spark)
     table = blocks(spark, path)
     kind = keys.schema[key].dataType.simpleString()
-    fences = table.select("shard", "block", *(F.col(c).cast("long").alias(c) for c in ("first_key", "last_key")))
+    fences = table.filter(F.col("first_key") != _NULL_KEY).select("shard", "block", *(F.col(c).cast("long").alias(c) for c in ("first_key", "last_key")))
     asked = keys.select(F.col(key).alias("_key")).distinct()
     # Blocks are sorted by key: give each key the widest ranges it can lie in by a coarse grid.
     spans = fences.agg(F.min("first_key"), F.max("last_key"), F.count("*")).first()

@@ -175,11 +175,28 @@ def test_token_files_look_up_and_odd_rows(spark, tmp_path, monkeypatch):
     assert sorted(r.doc_id for r in found) == [3, 4, 4]
     tok = tokenizer(BYTE)
     assert next(r.ids for r in found if r.doc_id == 3) == [*tok.encode("one", add_special_tokens=False).ids, 2]
+    # Null keys beside the others, and a null among the keys asked for.
+    path = str(tmp_path / "nulls")
+    token_files.write_token_files(odd_docs(spark), path, vocabulary(BYTE))
+    asked = spark.createDataFrame([(3,), (4,), (999,), (None,)], "doc_id long")
+    assert sorted(r.doc_id for r in token_files.look_up(asked, path).collect()) == [3, 4, 4]
     path = str(tmp_path / "none")
     token_files.write_token_files(empty_docs(spark), path, vocabulary(BYTE))
     assert token_files.read_documents(spark, path).count() == 0
 
 
+def test_token_files_many_short_texts(spark, tmp_path, monkeypatch):
+    """Blocks end at a number of rows, and a key whose rows are in two blocks keeps them all."""
+    monkeypatch.setattr(token_files, "BLOCK_ROWS", 100)
+    docs = spark.range(2000).selectExpr("id div 3 as doc_id", "if(id % 2 = 0, '', null) as text")
+    path = str(tmp_path / "files")
+    token_files.write_token_files(docs, path, vocabulary(BYTE))
+    assert token_files.blocks(spark, path).count() >= 20
+    rows = token_files.read_documents(spark, path).collect()
+    assert sorted(r.start for r in rows) == list(range(2000)) and {r.n_tokens for r in rows} == {1}
+    assert [r.doc_id for r in sorted(rows, key=lambda r: r.start)] == [i // 3 for i in range(2000)]
+
+
 def test_perfect_hash():
     for n in (1, 2, 3, 50, 700):
         keys = [f"k{i}" for i in range(n)]
