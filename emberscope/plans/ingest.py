@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,12 +68,15 @@ def load_days(
 ) -> None:
     """Ingest files and replace their days in the raw table.
 
-    With an interval, its days without records are emptied as well. Rejected
-    records are added to ``<table>-rejected`` unless ``strict``, which fails on them.
+    With an interval, its days without records are emptied as well. Rejected records go to
+    ``<table>-rejected`` unless ``strict``, which fails on them: one folder for each set of
+    paths, so a load that is run again replaces its own and no others.
     """
     raw, rejected = ingest(spark, paths, admin, country_id, strict)
     if rejected is not None:
-        rejected.write.mode("append").parquet(f"{table}-rejected")
+        named = "\n".join(sorted([paths] if isinstance(paths, str) else paths))
+        load = hashlib.md5(named.encode()).hexdigest()
+        rejected.write.mode("overwrite").parquet(f"{table}-rejected/load={load}")
     if interval:
         replace_interval(raw, table, *interval)
     else:

@@ -27,10 +27,10 @@ cte(
 RAW = "SELECT * REPLACE (CAST(acq_time AS INTEGER) AS acq_time) FROM raw"
 
 
-def _write_feed(v: Views, label: str) -> str:
+def _write_feed(v: Views, label: str, feed: DataFrame | None = None) -> str:
     """Feed files, one folder per satellite, in the shared scratch folder."""
     folder = scratch_path(v.spark, label)
-    v.feed().withColumn("platform", F.col("satellite")).write.partitionBy("platform").option(
+    (v.feed() if feed is None else feed).withColumn("platform", F.col("satellite")).write.partitionBy("platform").option(
         "header", True
     ).csv(folder)
     return folder
@@ -64,6 +64,40 @@ def streamed_arrivals(v: Views) -> DataFrame:
     return v.spark.read.parquet(f"{base}/table").select(*src.RAW_DETECTION_COLUMNS)
 
 
+@query(
+    "INC6 GEO2",
+    RAW + " WHERE longitude > 20 AND longitude < 30 AND latitude > 0 AND latitude < 15",
+    "raw",
+)
+def streamed_arrivals_in_country(v: Views) -> DataFrame:
+    landing, base = _write_feed(v, "landing"), scratch_path(v.spark, "stream")
+    land_new_files(v.spark, landing, f"{base}/table", f"{base}/progress", "XXX", admin=v.admin(2), cell_deg=0.5)
+    return v.spark.read.parquet(f"{base}/table").select(*src.RAW_DETECTION_COLUMNS)
+
+
+@query(
+    "FLT5 PIPE1 INC1",
+    """
+    SELECT kind, count(*) AS n_records FROM (
+      SELECT 'frp' AS kind FROM det WHERE firms_id % 19 = 0 UNION ALL
+      SELECT CAST(acq_date AS VARCHAR) FROM det
+      WHERE firms_id % 19 != 0 AND lon > 20 AND lon < 30 AND lat > 0 AND lat < 15)
+    GROUP BY kind""",
+    "det",
+)
+def repeated_load(v: Views) -> DataFrame:
+    """A load run twice: its days and its rejected records are there once."""
+    damaged = v.detections().withColumn("frp", F.expr("IF(firms_id % 19 = 0, 'strong', CAST(frp AS STRING))"))
+    feed = damaged.withColumnsRenamed({"lat": "latitude", "lon": "longitude"}).select(*v.feed().columns)
+    folder, table = _write_feed(v, "feed", feed), scratch_path(v.spark, "raw")
+    paths = [f"{folder}/platform={s}" for s in ("N", "N20", "N21")]
+    for _ in range(2):
+        ing.load_days(v.spark, paths, v.admin(2), "XXX", table)
+    kept = v.spark.read.parquet(table).select(F.col("acq_date").cast("string").alias("kind"))
+    rejected = v.spark.read.parquet(f"{table}-rejected").select(F.explode("problems").alias("kind"))
+    return kept.unionByName(rejected).groupBy("kind").agg(F.count("*").alias("n_records"))
+
+
 @query(
     "FLT5 FLT6",
     """

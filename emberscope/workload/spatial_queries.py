@@ -132,6 +132,23 @@ def detections_in_every_excluded(v: Views) -> DataFrame:
     return spatial.touching_every_polygon(points, band, cover, "firms_id")
 
 
+@query(
+    "JOIN4",
+    """
+    SELECT d.firms_id, d.lon, d.lat FROM det d
+    LEFT JOIN (SELECT r_regionkey AS k FROM region) e
+      ON NOT (d.lon BETWEEN (200 + 3 * k) / CAST(10 AS DOUBLE) AND 26 AND d.lat BETWEEN 0 AND 15)
+    WHERE k IS NULL""",
+    "det",
+)
+def detections_in_overlapping_excluded(v: Views) -> DataFrame:
+    """Literal reading of the exclusion join, over strips that overlap."""
+    strips = g.with_bounds(v.excluded_strips())
+    cover = spatial.polygon_cover(strips, ["exclude_id"], 0.5, small_edges=None)
+    points = v.detections().select("firms_id", "lon", "lat")
+    return spatial.touching_every_polygon(points, strips, cover, "firms_id")
+
+
 def _everything():
     from pyspark.sql import Window
 

@@ -188,6 +188,12 @@ class Views:
         ring = _points((x1, "lo"), (x2, "lo"), (x2, "hi"), (x1, "hi"), (x1, "lo"))
         return g.with_bounds(boxes.selectExpr(f"array({ring}) AS rings"))
 
+    def excluded_strips(self) -> DataFrame:
+        """One strip for each region up to 26 degrees, each starting 0.3 degrees later."""
+        x = "(200 + 3 * r_regionkey) / 10D"
+        ring = _points((x, "0"), ("26", "0"), ("26", "15"), (x, "15"), (x, "0"))
+        return self.table("region").selectExpr("r_regionkey AS exclude_id", f"array({ring}) AS rings")
+
     def settlements(self) -> DataFrame:
         return self.table("supplier").selectExpr(
             "s_name AS name",

@@ -326,3 +326,22 @@ def test_feature_tables_keep_what_they_reject(spark, tmp_path):
     none = spark.createDataFrame([], "wkb binary")
     assert [df.count() for df in polygons.checked_areas(none)] == [0, 0]
     assert [df.count() for df in polygons.read_areas(spark, None)] == [0, 0]
+
+
+def test_repeated_load_replaces_its_rejects(spark, tmp_path):
+    from emberscope.functions import geometry as g
+
+    ring = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0), (0.0, 0.0)]
+    country = g.with_bounds(
+        spark.createDataFrame([([ring],)], "rings array<array<struct<x:double,y:double>>>")
+    )
+    one = feed(tmp_path, "a.csv", line(1, 2), line(1, "bad"))
+    other = feed(tmp_path, "b.csv", line(3, 4, day="2024-01-02"), line(1, 2, conf="z"))
+    table = str(tmp_path / "raw")
+    for path in (one, other, one):
+        ing.load_days(spark, path, country, "SDN", table)
+    rejected = spark.read.parquet(f"{table}-rejected").collect()
+    assert sorted(p for r in rejected for p in r.problems) == ["confidence", "longitude"]
+    assert sorted(r.latitude for r in spark.read.parquet(table).collect()) == [1.0, 3.0]
+    with pytest.raises(Exception, match="bad detection record"):
+        ing.load_days(spark, other, country, "SDN", table, strict=True)
