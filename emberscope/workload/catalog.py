@@ -45,7 +45,9 @@ def with_ctes(names: str, body: str) -> str:
     for name in names.split():
         add(name)
     listed = ",\n".join(f"{n} AS ({CTES[n]})" for n in CTES if n in needed)
-    return f"WITH {listed}\n{body}" if listed else body
+    # A view may read itself.
+    again = "RECURSIVE " if any(re.search(rf"\b(FROM|JOIN) {n}\b", CTES[n]) for n in needed) else ""
+    return f"WITH {again}{listed}\n{body}" if listed else body
 
 
 def query(units: str, sql: str | None = None, ctes: str = ""):

@@ -28,6 +28,19 @@ PARAMS = ImageryParams(
     scene_cell_deg=0.1,
 )
 
+cte(
+    "burnt_cell",
+    """
+    SELECT DISTINCT l_orderkey // 100 AS bs, l_orderkey % 2 AS sa, l_partkey % 25 AS px,
+           (l_orderkey // 2) % 20 AS py FROM lineitem""",
+)
+cte(
+    "reach",
+    """
+    SELECT bs, sa, px, py, py * 25 + px AS region FROM burnt_cell
+    UNION SELECT c.bs, c.sa, c.px, c.py, r.region FROM reach r JOIN burnt_cell c
+      ON c.bs = r.bs AND c.sa = r.sa AND abs(c.px - r.px) + abs(c.py - r.py) = 1""",
+)
 cte(
     "sc",
     """
@@ -377,6 +390,20 @@ def burnt_regions(v: Views) -> DataFrame:
     return regions.region_summary(imagery.burnt_pixels(v.pixels(), looks, PARAMS))
 
 
+@query(
+    "PIPE12",
+    """
+    SELECT bs AS before_scene, sa AS after_scene, count(*) AS n_pixels, min(px) AS px_min, max(px) AS px_max,
+           min(py) AS py_min, max(py) AS py_max
+    FROM (SELECT bs, sa, px, py, min(region) AS region FROM reach GROUP BY bs, sa, px, py)
+    GROUP BY bs, sa, region""",
+    "reach",
+)
+def burnt_regions_over_rows(v: Views) -> DataFrame:
+    """Regions that reach over several pixel rows, with bends and holes."""
+    return regions.region_summary(v.burnt_cells())
+
+
 @query(
     "PIPE3 FLT1 FLT2 JOIN5 AGG6 INC2",
     f"SELECT {RESULT}, validation_try FROM latest",

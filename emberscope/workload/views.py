@@ -235,6 +235,15 @@ class Views:
             "quantity * 2000 AS b12",
         )
 
+    def burnt_cells(self) -> DataFrame:
+        """Burnt pixels of made-up scene pairs, a fifth to half of 25 by 20 pixels each."""
+        return self.table("lineitem").selectExpr(
+            "l_orderkey DIV 100 AS before_scene",
+            "l_orderkey % 2 AS after_scene",
+            "l_partkey % 25 AS px",
+            "(l_orderkey DIV 2) % 20 AS py",
+        ).distinct()
+
     def buildings(self) -> DataFrame:
         """Small squares centred on a pixel of the cell."""
         placed = self._with_cell(self.table("part"), "p_partkey").selectExpr(
