@@ -1,10 +1,12 @@
 """Nearest place for every position, exact, without pairing everything near.
 
-Places are listed per grid cell of the positions as *candidates*: the only places
-that can be nearest to some position of that cell. A cell keeping more candidates
-than a bound is split in four, and each part drops the places that are farther
-than its own worst case, until the lists are short. A position then looks through
-one short list.
+Places are gathered on demand: only for grid cells that hold positions, and only those
+that can be nearest to some spot of the cell, its *candidates*. With a cutoff its reach
+says which; without one a pyramid of the cells that hold places does: the smallest
+ancestor of a cell with a place in it bounds how far the nearest can be. A cell keeping
+more candidates than a bound is split in four, and each part drops the places that are
+farther than its own worst case, until the lists are short. A position then looks
+through one short list.
 """
 
 from __future__ import annotations
@@ -15,10 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberscope.functions import geometry as g
-from emberscope.session import broadcast_if_small, cut_lineage
+from emberscope.session import BROADCAST_MAX_ROWS, broadcast_if_small, cut_lineage
 
 MAX_CANDIDATES = 64
 MAX_SPLITS = 14
+CANDIDATE = ("base", "ix", "iy", "plon", "plat", "name")
+# Cells without a cutoff: the finest in degrees, and how often it is doubled. Four of the
+# largest hold every longitude and latitude.
+FINEST_DEG = 0.5
+DOUBLINGS = 10
 
 
 def _box_distance(unit: str, nearest: bool) -> str:
@@ -51,39 +58,42 @@ def _box_distance(unit: str, nearest: bool) -> str:
     return f"({dy} * {per_degree} + {dx} * {per_degree} * cos(radians(plat)))"
 
 
-def _with_cell_box(df: DataFrame, cell: float) -> DataFrame:
-    s = f"{cell!r}D"
-    return df.selectExpr(
-        "*", f"ix * {s} AS x0", f"iy * {s} AS y0", f"(ix + 1) * {s} AS x1", f"(iy + 1) * {s} AS y1"
+def _size(cell: float, depth: int) -> str:
+    """Side of a cell: its base tells how often ``cell`` was doubled, its depth how often halved."""
+    return f"({float(cell)!r}D * pow(2D, base - {depth}))"
+
+
+def _cells(seats: DataFrame, cell: float, depth: int) -> DataFrame:
+    """Every seat (lon, lat, base) with its cell ix, iy."""
+    size = _size(cell, depth)
+    return seats.selectExpr(
+        "*", f"CAST(floor(lon / {size}) AS BIGINT) AS ix", f"CAST(floor(lat / {size}) AS BIGINT) AS iy"
     )
 
 
-def _split(candidates: DataFrame, wanted: DataFrame, cell: float, unit: str) -> DataFrame:
-    """Candidates of the four parts of each cell that hold positions."""
-    parts = wanted.selectExpr(
-        "ix AS cx", "iy AS cy", "CAST(floor(ix / 2D) AS BIGINT) AS px", "CAST(floor(iy / 2D) AS BIGINT) AS py"
+def _split(candidates: DataFrame, seats: DataFrame, cell: float, depth: int) -> DataFrame:
+    """Candidates of the four parts of each cell that hold seats."""
+    parts = _cells(seats, cell, depth).select("base", "ix", "iy").distinct()
+    parts = parts.selectExpr("base", "ix AS cx", "iy AS cy", "shiftright(ix, 1) AS ix", "shiftright(iy, 1) AS iy")
+    return candidates.join(parts, ["base", "ix", "iy"]).selectExpr(
+        "base", "cx AS ix", "cy AS iy", "plon", "plat", "name"
     )
-    joined = candidates.withColumnsRenamed({"ix": "px", "iy": "py"}).join(parts, ["px", "py"])
-    return joined.selectExpr("cx AS ix", "cy AS iy", "plon", "plat", "name")
 
 
-def _prune(candidates: DataFrame, cell: float, unit: str, limit: float | None) -> DataFrame:
+def _prune(candidates: DataFrame, cell: float, depth: int, unit: str, limit: float | None) -> DataFrame:
     """Drop places that some other candidate beats everywhere in the cell."""
-    boxed = _with_cell_box(candidates, cell).selectExpr(
-        "ix",
-        "iy",
-        "plon",
-        "plat",
-        "name",
-        f"{_box_distance(unit, True)} AS at_least",
-        f"{_box_distance(unit, False)} AS at_most",
+    s = _size(cell, depth)
+    boxed = candidates.selectExpr(
+        "*", f"ix * {s} AS x0", f"iy * {s} AS y0", f"(ix + 1) * {s} AS x1", f"(iy + 1) * {s} AS y1"
+    ).selectExpr(
+        *CANDIDATE, f"{_box_distance(unit, True)} AS at_least", f"{_box_distance(unit, False)} AS at_most"
     )
-    bound = boxed.groupBy("ix", "iy").agg(F.min("at_most").alias("bound"))
+    bound = boxed.groupBy("base", "ix", "iy").agg(F.min("at_most").alias("bound"))
     slack = "(1D + 1e-9D)"
-    kept = boxed.join(bound, ["ix", "iy"]).filter(f"at_least <= bound * {slack} + 1e-12D")
+    kept = boxed.join(bound, ["base", "ix", "iy"]).filter(f"at_least <= bound * {slack} + 1e-12D")
     if limit is not None:
         kept = kept.filter(f"at_least <= {float(limit)!r}D * {slack}")
-    return kept.select("ix", "iy", "plon", "plat", "name")
+    return kept.select(*CANDIDATE)
 
 
 def _start_cell(limit: float, unit: str) -> float:
@@ -114,105 +124,124 @@ def _around(places: DataFrame, cell: float, limit: float, unit: str) -> DataFram
     return places.selectExpr("*", f"explode({sx}) AS ix").selectExpr("*", f"explode({sy}) AS iy")
 
 
-def nearest_within(
-    positions: DataFrame,
-    places: DataFrame,
-    limit: float,
-    unit: str = "metres",
-    max_candidates: int = MAX_CANDIDATES,
-) -> DataFrame:
-    """``positions`` (distinct lon, lat) + settlement_name, settlement_distance.
-
-    Left-preserving: no place within ``limit`` gives nulls. Equal distances go to
-    the lowest name.
-    """
-    cell = _start_cell(limit, unit)
-    spots = places.groupBy(F.col("lon").alias("plon"), F.col("lat").alias("plat")).agg(
-        F.min("name").alias("name")
-    )
+def _spots(places: DataFrame) -> DataFrame:
+    """One place per position; the lowest name wins ties."""
+    return places.groupBy(F.col("lon").alias("plon"), F.col("lat").alias("plat")).agg(F.min("name").alias("name"))
 
-    def cells_at(level: int) -> DataFrame:
-        size = cell / 2**level
-        return positions.select(
-            g.cell_index("lon", size).alias("ix"), g.cell_index("lat", size).alias("iy")
-        ).distinct()
 
-    candidates = _around(spots, cell, limit, unit)
+def _settle(
+    seats: DataFrame, candidates: DataFrame, cell: float, unit: str, limit: float | None, max_candidates: int
+) -> DataFrame:
+    """Seats with the best of the candidates of their cell, once all lists are short."""
     lists = []
-    for level in range(MAX_SPLITS + 1):
-        counted = candidates.groupBy("ix", "iy").agg(F.count("*").alias("n"))
-        crowded = counted.filter(f"n > {max_candidates}").select("ix", "iy")
-        last = level == MAX_SPLITS or crowded.limit(1).count() == 0
-        here = candidates if last else candidates.join(crowded, ["ix", "iy"], "left_anti")
+    for depth in range(MAX_SPLITS + 1):
+        counted = candidates.groupBy("base", "ix", "iy").agg(F.count("*").alias("n"))
+        crowded = cut_lineage(counted.filter(f"n > {max_candidates}").select("base", "ix", "iy"))
+        last = depth == MAX_SPLITS or crowded.isEmpty()
+        here = candidates if last else candidates.join(crowded, ["base", "ix", "iy"], "left_anti")
         lists.append(
-            here.groupBy("ix", "iy")
+            here.groupBy("base", "ix", "iy")
             .agg(F.collect_list(F.struct("plon", "plat", "name")).alias("near"))
-            .withColumn("level", F.lit(level))
+            .withColumn("depth", F.lit(depth))
         )
         if last:
             break
-        size = cell / 2 ** (level + 1)
-        parts = _split(candidates.join(crowded, ["ix", "iy"], "left_semi"), cells_at(level + 1), size, unit)
-        candidates = cut_lineage(_prune(parts, size, unit, limit))
+        rest = candidates.join(crowded, ["base", "ix", "iy"], "left_semi")
+        parts = _split(rest, seats, cell, depth + 1)
+        candidates = cut_lineage(_prune(parts, cell, depth + 1, unit, limit))
 
     table = lists[0]
     for more in lists[1:]:
         table = table.unionByName(more)
+    table = cut_lineage(table)
+    # Lists differ in length, so the bound counts their places.
+    listed = table.agg(F.sum(F.size("near"))).first()[0] or 0
+    table = F.broadcast(table) if listed <= BROADCAST_MAX_ROWS else table
     keys = ", ".join(
-        f"named_struct('level', {k}, 'ix', {g.cell_sql('lon', cell / 2**k)}, 'iy', {g.cell_sql('lat', cell / 2**k)})"
+        f"named_struct('depth', {k}, 'ix', CAST(floor(lon / {_size(cell, k)}) AS BIGINT),"
+        f" 'iy', CAST(floor(lat / {_size(cell, k)}) AS BIGINT))"
         for k in range(len(lists))
     )
     distance = g.distance_sql("lon", "lat", "c.plon", "c.plat", unit)
-    best = f"array_min(transform(near, c -> named_struct('d', {distance}, 'name', c.name)))"
-    if len(lists) == 1:
-        keyed = positions.selectExpr(
-            "*", "0 AS level", f"{g.cell_sql('lon', cell)} AS ix", f"{g.cell_sql('lat', cell)} AS iy"
-        )
-        found = keyed.join(broadcast_if_small(table), ["level", "ix", "iy"], "left")
-        return _named(found.selectExpr(*positions.columns, f"{best} AS best"), positions, limit)
-    keyed = positions.selectExpr("*", f"explode(array({keys})) AS k").selectExpr(
-        *positions.columns, "k.level", "k.ix", "k.iy"
-    )
-    found = (
-        keyed.join(broadcast_if_small(table), ["level", "ix", "iy"])
-        .selectExpr("lon", "lat", f"{best} AS best")
-    )
-    return _named(positions.join(found, ["lon", "lat"], "left"), positions, limit)
+    best = f"array_min(transform(near, c -> named_struct('d', {distance}, 'name', c.name))) AS best"
+    # A seat is under one list, or none.
+    keyed = seats.selectExpr("lon", "lat", "base", f"explode(array({keys})) AS k").select("lon", "lat", "base", "k.*")
+    return keyed.join(table, ["base", "depth", "ix", "iy"]).selectExpr("lon", "lat", best)
 
 
-def _named(found: DataFrame, positions: DataFrame, limit: float) -> DataFrame:
-    ok = f"best.d <= {float(limit)!r}D"
-    return found.selectExpr(
+def nearest_within(
+    positions: DataFrame,
+    places: DataFrame,
+    limit: float,
+    unit: str = "metres",
+    max_candidates: int = MAX_CANDIDATES,
+) -> DataFrame:
+    """``positions`` (distinct lon, lat) + settlement_name, settlement_distance.
+
+    Left-preserving: no place within ``limit`` gives nulls. Equal distances go to
+    the lowest name.
+    """
+    cell = _start_cell(limit, unit)
+    positions = cut_lineage(positions)
+    seats = positions.selectExpr("lon", "lat", "0 AS base")
+    wanted = cut_lineage(_cells(seats, cell, 0).select("ix", "iy").distinct())
+    reached = _around(_spots(places), cell, limit, unit).join(broadcast_if_small(wanted), ["ix", "iy"], "left_semi")
+    candidates = cut_lineage(reached.selectExpr("0 AS base", *CANDIDATE[1:]))
+    best = _settle(seats, candidates, cell, unit, limit, max_candidates)
+    return _named(positions, best, f"best.d <= {float(limit)!r}D")
+
+
+def _named(positions: DataFrame, best: DataFrame, ok: str) -> DataFrame:
+    return positions.join(best, ["lon", "lat"], "left").selectExpr(
         *positions.columns,
         f"IF({ok}, best.name, NULL) AS settlement_name",
         f"IF({ok}, best.d, NULL) AS settlement_distance",
     )
 
 
-def nearest_any(
-    positions: DataFrame,
-    places: DataFrame,
-    start: float = 0.5,
-    unit: str = "degrees",
-    max_candidates: int = MAX_CANDIDATES,
-) -> DataFrame:
-    """Nearest place with no cutoff: the search radius doubles for what is left.
+def nearest_any(positions: DataFrame, places: DataFrame, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
+    """Nearest place in planar degrees with no cutoff, in one search for all positions.
 
-    The first radius settles most positions; each round only takes those that
-    found nothing, and what a radius finds is final.
+    A cell searches from its smallest ancestor that holds a place: that place is within the
+    ancestor's diagonal of every position, so the nearest is at most two such cells away.
     """
-    found = None
-    left, radius = positions, start
-    reach = 720.0 if unit == "degrees" else 2.0 * math.pi * g.EARTH_RADIUS_M
-    while True:
-        tried = cut_lineage(nearest_within(left, places, radius, unit, max_candidates))
-        done = radius >= reach
-        hit = tried if done else tried.filter("settlement_name IS NOT NULL")
-        found = hit if found is None else found.unionByName(hit)
-        left = tried.filter("settlement_name IS NULL").select(*positions.columns)
-        if done or left.limit(1).count() == 0:
-            return found
-        radius *= 4.0
+    positions = cut_lineage(positions)
+    spots = cut_lineage(_spots(places))
+    levels = f"explode(sequence(0, {DOUBLINGS})) AS base"
+
+    def level_cells(lon: str, lat: str) -> list[str]:
+        return [f"{g.cell_sql(lon, FINEST_DEG)} AS cx", f"{g.cell_sql(lat, FINEST_DEG)} AS cy"]
+
+    above = ["shiftright(cx, base) AS ix", "shiftright(cy, base) AS iy"]
+    held = spots.selectExpr(*level_cells("plon", "plat")).distinct().selectExpr("*", levels)
+    held = held.selectExpr("base", *above).distinct()
+    # At most one row per cell of the finest grid.
+    cells = cut_lineage(positions.selectExpr(*level_cells("lon", "lat")).distinct())
+    bases = (
+        cells.selectExpr("*", levels).selectExpr("*", *above)
+        .join(held, ["base", "ix", "iy"], "left_semi")
+        .groupBy("cx", "cy").agg(F.min("base").alias("base"))
+    )
+    based = cut_lineage(
+        cells.join(bases, ["cx", "cy"], "left").withColumn("base", F.coalesce("base", F.lit(DOUBLINGS)))
+    )
+    seats = cut_lineage(
+        positions.selectExpr("lon", "lat", *level_cells("lon", "lat"))
+        .join(broadcast_if_small(based), ["cx", "cy"])
+        .select("lon", "lat", "base")
+    )
+    around = (
+        based.selectExpr("base", *above).distinct()
+        .selectExpr("*", "explode(sequence(ix - 2, ix + 2)) AS nx")
+        .selectExpr("*", "explode(sequence(iy - 2, iy + 2)) AS ny")
+    )
+    placed = spots.selectExpr("*", *level_cells("plon", "plat"), levels).selectExpr(
+        "plon", "plat", "name", "base", "shiftright(cx, base) AS nx", "shiftright(cy, base) AS ny"
+    )
+    reached = placed.join(broadcast_if_small(cut_lineage(around)), ["base", "nx", "ny"]).select(*CANDIDATE)
+    candidates = cut_lineage(_prune(reached, FINEST_DEG, 0, "degrees", None))
+    best = _settle(seats, candidates, FINEST_DEG, "degrees", None, max_candidates)
+    return _named(positions, best, "best.d IS NOT NULL")
 
 
 def nearest_settlement(

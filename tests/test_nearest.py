@@ -77,3 +77,28 @@ def test_no_places(spark):
     p, s = make(spark, [(1.0, 1.0)], [(1.0, 1.0)])
     (row,) = nearest_settlement(p, s.filter("name = ''"), 10_000.0).collect()
     assert row.settlement_name is None and row.settlement_distance is None
+
+
+def test_no_cutoff_over_a_pyramid(spark):
+    rng = random.Random(5)
+    places = [(round(10 + rng.gauss(0, 0.05), 5), round(10 + rng.gauss(0, 0.05), 5)) for _ in range(300)]
+    places += [(round(rng.uniform(-180, 180), 3), round(rng.uniform(0, 90), 3)) for _ in range(60)]
+    spots = [(round(10 + rng.gauss(0, 0.2), 5), round(10 + rng.gauss(0, 0.2), 5)) for _ in range(120)]
+    spots += [(round(rng.uniform(-180, 180), 3), round(rng.uniform(-90, 90), 3)) for _ in range(200)]
+    spots += [(180.0, 90.0), (-180.0, -90.0), (0.0, 0.0)]
+    p, s = make(spark, spots, places)
+    got = {r.pid: (r.settlement_distance, r.settlement_name) for r in nearest_settlement(p, s, None).collect()}
+    check(got, brute(spots, places, lambda a, b: math.hypot(a[0] - b[0], a[1] - b[1]), None))
+    assert [r.settlement_name for r in nearest_settlement(p.limit(2), s.filter("name = ''"), None).collect()] == [None] * 2
+
+
+def test_places_out_of_reach_are_not_listed(spark, monkeypatch):
+    from emberscope.operators import nearest
+
+    seen = []
+    settle = nearest._settle
+    monkeypatch.setattr(nearest, "_settle", lambda seats, candidates, *a: seen.append(candidates) or settle(seats, candidates, *a))
+    p, s = make(spark, [(5.0, 5.0)], [(5.01, 5.0)] + [(round(60 + k / 500, 3), 20.0) for k in range(300)])
+    for limit in (10_000.0, None):
+        assert [r.settlement_name for r in nearest_settlement(p, s, limit).collect()] == ["p00000"]
+    assert [c.select("name").distinct().count() for c in seen] == [1, 1]
