@@ -133,12 +133,17 @@ def _settle(
     seats: DataFrame, candidates: DataFrame, cell: float, unit: str, limit: float | None, max_candidates: int
 ) -> DataFrame:
     """Seats with the best of the candidates of their cell, once all lists are short."""
-    lists = []
+    lists, listed = [], 0
     for depth in range(MAX_SPLITS + 1):
         counted = candidates.groupBy("base", "ix", "iy").agg(F.count("*").alias("n"))
-        crowded = cut_lineage(counted.filter(f"n > {max_candidates}").select("base", "ix", "iy"))
-        last = depth == MAX_SPLITS or crowded.isEmpty()
-        here = candidates if last else candidates.join(crowded, ["base", "ix", "iy"], "left_anti")
+        full = F.col("n") > max_candidates
+        short, longest = counted.agg(F.sum(F.when(~full, F.col("n"))), F.max("n")).first()
+        last = depth == MAX_SPLITS or (longest or 0) <= max_candidates
+        listed += (short or 0) if not last or (longest or 0) <= max_candidates else BROADCAST_MAX_ROWS + 1
+        here = candidates
+        if not last:
+            crowded = cut_lineage(counted.filter(full).select("base", "ix", "iy"))
+            here = candidates.join(crowded, ["base", "ix", "iy"], "left_anti")
         lists.append(
             here.groupBy("base", "ix", "iy")
             .agg(F.collect_list(F.struct("plon", "plat", "name")).alias("near"))
@@ -153,9 +158,7 @@ def _settle(
     table = lists[0]
     for more in lists[1:]:
         table = table.unionByName(more)
-    table = cut_lineage(table)
     # Lists differ in length, so the bound counts their places.
-    listed = table.agg(F.sum(F.size("near"))).first()[0] or 0
     table = F.broadcast(table) if listed <= BROADCAST_MAX_ROWS else table
     keys = ", ".join(
         f"named_struct('depth', {k}, 'ix', CAST(floor(lon / {_size(cell, k)}) AS BIGINT),"
@@ -238,7 +241,7 @@ def nearest_any(positions: DataFrame, places: DataFrame, max_candidates: int = M
     placed = spots.selectExpr("*", *level_cells("plon", "plat"), levels).selectExpr(
         "plon", "plat", "name", "base", "shiftright(cx, base) AS nx", "shiftright(cy, base) AS ny"
     )
-    reached = placed.join(broadcast_if_small(cut_lineage(around)), ["base", "nx", "ny"]).select(*CANDIDATE)
+    reached = placed.join(broadcast_if_small(around), ["base", "nx", "ny"]).select(*CANDIDATE)
     candidates = cut_lineage(_prune(reached, FINEST_DEG, 0, "degrees", None))
     best = _settle(seats, candidates, FINEST_DEG, "degrees", None, max_candidates)
     return _named(positions, best, "best.d IS NOT NULL")
