@@ -14,6 +14,7 @@ from emberscope.schemas import (
     RAW_DETECTION_COLUMNS,
     SATELLITES,
 )
+from emberscope.session import broadcast_if_small, cut_lineage
 
 HEADER_START = ("latitude", "longitude")
 
@@ -22,27 +23,62 @@ class RejectedRecords(ValueError):
     pass
 
 
-def _text_fields():
-    from pyspark.sql import types as T
+def file_lines(reader, paths: str | list[str]) -> DataFrame:
+    """``value, file`` of every line; ``reader`` reads a batch or a stream."""
+    return reader.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
 
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in DETECTION_FEED.fields])
 
+def _with_cells(df: DataFrame, width: int) -> DataFrame:
+    """``df`` with ``cells``: the fields of ``value`` as ``width`` strings, null where there are fewer.
 
-def csv_options(reader):
-    """Header checks shared by the batch scan and the stream.
-
-    The header must list the feed's columns in order; a file in another order is
-    an error when read, never read by position.
+    In two steps, so that a line is parsed once and not once per field.
     """
-    return reader.schema(_text_fields()).option("header", True).option("enforceSchema", False)
+    parsed = df.withColumn("parsed", F.from_csv("value", ", ".join(f"c{i} STRING" for i in range(width))))
+    return parsed.withColumn("cells", F.array(*(f"parsed.c{i}" for i in range(width)))).drop("value", "parsed")
 
 
-def scan_detections(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Raw text fields of all files (one per satellite and day) as one frame.
+def fields_by_name(lines: DataFrame) -> DataFrame:
+    """The text fields of the feed, each taken from where its file's header names it.
 
-    A file whose header is not the feed's is an error when read.
+    ``lines`` has ``value`` and ``file``. Files may list the columns in any order and have
+    others besides. A file without a header, with a column missing or with headers that
+    differ is an error. One row per file tells the order, so all orders share a scan.
     """
-    return csv_options(spark.read).option("mode", "PERMISSIVE").csv(paths)
+    is_header = F.lit(True)
+    for name in HEADER_START:
+        is_header = is_header & F.contains(F.lower("value"), F.lit(name))
+    needed = F.array(*(F.lit(c) for c in DETECTION_FEED.names))
+    lacking = F.array_except(needed, F.col("names"))
+    width = F.size(F.split("value", ",")).alias("width")
+    headers = cut_lineage(lines.filter(is_header).select("file", "value", width).distinct())
+    widest = headers.agg(F.max("width")).first()[0] or len(DETECTION_FEED)
+    named = _with_cells(headers, widest).select(
+        "file", F.transform("cells", lambda c: F.lower(F.trim(c))).alias("names")
+    )
+    orders = named.groupBy("file").agg(F.min("names").alias("names"), F.count("*").alias("n")).select(
+        "file",
+        F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("more than one header in "), "file")))
+        .when(
+            F.size(lacking) > 0,
+            F.raise_error(F.concat(F.lit("header of "), "file", F.lit(" lacks "), F.array_join(lacking, ", "))),
+        )
+        .otherwise(F.col("names"))
+        .alias("names"),
+    )
+    given = F.coalesce("names", F.raise_error(F.concat(F.lit("no header in "), "file")))
+    rows = (
+        lines.filter(~is_header & (F.trim("value") != ""))
+        .join(broadcast_if_small(orders), "file", "left")
+        .select("value", given.alias("names"))
+    )
+    return _with_cells(rows, widest).select(
+        *(F.get("cells", F.array_position("names", F.lit(c)).cast("int") - 1).alias(c) for c in DETECTION_FEED.names)
+    )
+
+
+def scan_detections(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Raw text fields of all files (one per satellite and day) as one frame, read by name."""
+    return fields_by_name(file_lines(spark.read, paths))
 
 
 def one_constellation(frames: list[DataFrame]) -> DataFrame:

@@ -25,17 +25,15 @@ def land_new_files(
 
     A batch is merged per day with what the table holds of that day, so files of
     several satellites may arrive apart, and a batch run again after a failure
-    leaves the same rows. With ``admin`` only detections inside the country are
+    leaves the same rows. Columns are found by each file's header. With ``admin`` only detections inside the country are
     kept. Rejected records go to ``<table>-rejected``, one folder per batch.
     """
-    reader = (
-        src.csv_options(spark.readStream).option("recursiveFileLookup", True)
-    )
+    reader = spark.readStream.option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        valid, rejected = src.check_records(batch)
+        valid, rejected = src.check_records(src.fields_by_name(batch))
         rejected.write.mode("overwrite").parquet(f"{table}-rejected/batch={batch_id}")
         if admin is not None:
             valid = clip_to_union(valid, admin, cell_deg, "longitude", "latitude")
@@ -48,7 +46,7 @@ def land_new_files(
         replace_days(new, table)
 
     query = (
-        reader.csv(landing)
+        src.file_lines(reader, landing)
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

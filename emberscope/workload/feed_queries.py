@@ -47,6 +47,29 @@ def scanned_detection_files(v: Views) -> DataFrame:
     return src.to_raw_table(valid, "XXX")
 
 
+def _mixed_feed(v: Views, label: str) -> list[str]:
+    """Feed files of one satellite each: in the feed's order, turned round, and with a column more."""
+    feed, folder = v.feed(), scratch_path(v.spark, label)
+    orders = {"N": feed.columns, "N20": feed.columns[::-1], "N21": ["track", "extra", *sorted(set(feed.columns) - {"track"})]}
+    for satellite, columns in orders.items():
+        rows = feed.filter(F.col("satellite") == satellite).withColumn("extra", F.lit('a, "b"'))
+        rows.select(*columns).write.option("header", True).csv(f"{folder}/{satellite}")
+    return [f"{folder}/{satellite}" for satellite in orders]
+
+
+@query("SRC1 SRC2", RAW, "raw")
+def scanned_mixed_headers(v: Views) -> DataFrame:
+    valid, _ = src.check_records(src.scan_detections(v.spark, _mixed_feed(v, "mixed")))
+    return src.to_raw_table(valid, "XXX")
+
+
+@query("SRC1 INC6", RAW, "raw")
+def streamed_mixed_headers(v: Views) -> DataFrame:
+    landing, base = _mixed_feed(v, "mixed")[0].rpartition("/")[0], scratch_path(v.spark, "stream")
+    land_new_files(v.spark, landing, f"{base}/table", f"{base}/progress", "XXX")
+    return v.spark.read.parquet(f"{base}/table").select(*src.RAW_DETECTION_COLUMNS)
+
+
 @query(
     "PIPE1 GEO2",
     RAW + " WHERE longitude > 20 AND longitude < 30 AND latitude > 0 AND latitude < 15",

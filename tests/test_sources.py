@@ -211,10 +211,30 @@ def test_stream_checks_header_and_keeps_rejects(spark, tmp_path):
     assert [list(r.problems) for r in rejected] == [["acq_time"]]
     text = (landing / "n.csv").read_text().replace("latitude,longitude", "longitude,latitude", 1)
     (landing / "swapped.csv").write_text(text)
+    land_new_files(*args)
+    got = spark.read.parquet(str(tmp_path / "table")).select("latitude", "longitude").collect()
+    assert sorted(map(tuple, got)) == [(1.0, 2.0), (2.0, 1.0)]
+    (landing / "short.csv").write_text(text.replace(",frp", "", 1))
     with pytest.raises(Exception, match="(?i)header"):
         land_new_files(*args)
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    a = feed(tmp_path, "a.csv", line(1, 2), line(3, 4))
+    other = HEADER.split(",")[::-1]
+    values = dict(zip(HEADER.split(","), line(5, 6).split(",")))
+    (tmp_path / "b.csv").write_text(
+        ",".join([" Note", *other]) + "\r\n" + ",".join(['"x, y"', *(values[c] for c in other)]) + "\r\n\r\n"
+    )
+    raw = src.scan_detections(spark, [a, str(tmp_path / "b.csv")])
+    assert raw.columns == HEADER.split(",")
+    assert sorted((r.latitude, r.longitude, r.daynight) for r in raw.collect()) == [("1", "2", "D"), ("3", "4", "D"), ("5", "6", "D")]
+    assert src.scan_detections(spark, feed(tmp_path, "c.csv")).collect() == []
+    twice = feed(tmp_path, "d.csv", line(1, 2), ",".join(other), line(3, 4))
+    with pytest.raises(Exception, match="more than one header"):
+        src.scan_detections(spark, twice).collect()
+
+
 def test_undecodable_and_crossing_areas_are_rejected(spark):
     bow = [(0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 3.0), (0.0, 0.0)]
     rows = [(1, bytearray(wkb([SQUARE]))), (2, bytearray(b"junk")), (3, None), (4, bytearray(wkb([bow])))]
