@@ -1,9 +1,10 @@
 """Quality rules: fixed limits, then robust multivariate outliers.
 
 Statistics of each whole text become a vector of transformed values. For each language and
-source, the minimum-covariance-determinant estimate of centre and scatter comes from
-repeated concentration steps: the three quarters of documents nearest to the last estimate
-give the next one. A document is rejected when its Mahalanobis distance is beyond a bound
+source, the minimum-covariance-determinant estimate of centre and scatter comes from three
+starts side by side (medians with quartiles, plain moments, correlations of squashed
+values). In each, the three quarters of documents nearest to the last estimate give the
+next one, until the determinant stops falling; the least determinant of all is kept. A document is rejected when its Mahalanobis distance is beyond a bound
 that clean documents do not reach.
 
 Null text has no words and fails the fixed limits. Null language or source is a group of
@@ -27,7 +28,10 @@ from emberscope.session import broadcast_if_small
 # Documents a group needs for its own estimate of 5 centres and 15 covariances.
 MIN_GROUP = 50
 KEPT_SHARE = 0.75
-STEPS = 4
+# Steps go on while the logarithm of the determinant falls by more than this.
+FALL = 0.01
+# Quantiles are exact over bins of fixed width, so they do not depend on the order of rows.
+VALUE_BINS, DISTANCE_BINS = 1000, 100
 # The bound on the squared distance is the chi-squared quantile that one clean document in
 # so many would pass.
 ONE_IN = 1e9
@@ -147,17 +151,27 @@ def _distance(names: list[str]) -> Column:
     return total
 
 
+def _bin(x: str) -> Column:
+    return F.floor(F.col(x) * VALUE_BINS)
+
+
+def _middle(quantile: Column) -> Column:
+    return (quantile + 0.5) / VALUE_BINS
+
+
 def _estimates(within: DataFrame, names: list[str], floors: list[float], keys: list[str], least: int) -> DataFrame:
     """The estimate of each group by ``keys`` of at least ``least`` rows.
 
-    Each estimate is one row per group, stored, and broadcast only up to ``GROUPS_MAX``
-    groups; beyond, the join shuffles and skewed groups are split at run time. Every step
-    is one aggregation with partial sums.
+    Each step has one row per group and start still falling, stored, and broadcast only up to
+    ``GROUPS_MAX`` rows; beyond, the join shuffles and skewed groups are split at run time.
+    Every step is two aggregations with partial results.
     """
     d = len(names)
     chi = chi2_quantile(KEPT_SHARE, d)
     consistent = KEPT_SHARE / _chi2_cdf(chi, d + 2)
     triangle = [(i, j) for i in range(d) for j in range(i + 1)]
+    each = [*keys, "_start"]
+    fitted = [*(f"_m{i}" for i in range(d)), *(f"_l{i}{j}" for i, j in triangle)]
 
     def factor(df: DataFrame, scale: float) -> DataFrame:
         cov = {
@@ -174,32 +188,69 @@ def _estimates(within: DataFrame, names: list[str], floors: list[float], keys: l
                 f"_l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / low[j, j]
             )
             low[i, j] = F.col(f"_l{i}{j}")
-        return df.select(*keys, *(f"_m{i}" for i in range(d)), *(f"_l{i}{j}" for i, j in triangle))
+        det = sum((2.0 * F.log(f"_l{i}{i}") for i in range(d)), F.lit(0.0))
+        return df.select(*each, det.alias("_det"), *fitted)
 
-    medians = within.groupBy(*keys).agg(
-        F.count("*").alias("_n"), *(F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000).alias(f"_q{i}") for i, x in enumerate(names))
+    usual = within.groupBy(*keys).agg(
+        F.count("*").alias("_n"),
+        *(F.percentile(_bin(x), [0.25, 0.5, 0.75]).alias(f"_q{i}") for i, x in enumerate(names)),
     )
-    start = medians.filter(F.col("_n") >= least).select(
+    usual = usual.filter(F.col("_n") >= least).select(
         *keys,
-        *(F.col(f"_q{i}")[1].alias(f"_m{i}") for i in range(d)),
-        *(
-            F.pow((F.col(f"_q{i}")[2] - F.col(f"_q{i}")[0]) / 1.349, 2).alias(f"_c{i}{j}")
-            if i == j
-            else F.lit(0.0).alias(f"_c{i}{j}")
-            for i, j in triangle
-        ),
+        *(_middle(F.col(f"_q{i}")[1]).alias(f"_mid{i}") for i in range(d)),
+        *(((F.col(f"_q{i}")[2] - F.col(f"_q{i}")[0]) / VALUE_BINS / 1.349).alias(f"_s{i}") for i in range(d)),
     )
-    estimate = stored(factor(start, 1.0), "estimate")
-    for _ in range(STEPS):
-        near = within.join(broadcast_if_small(estimate, GROUPS_MAX), keys).withColumn("_d", _distance(names))
-        bound = stored(near.groupBy(*keys).agg(F.percentile_approx("_d", KEPT_SHARE, 10_000).alias("_bound")), "bounds")
-        core = near.select(*keys, *names, "_d").join(broadcast_if_small(bound, GROUPS_MAX), keys).filter("_d <= _bound")
-        moments = core.groupBy(*keys).agg(
+    usual = stored(usual, "medians")
+    seen = within.select(*keys, *names).join(broadcast_if_small(usual, GROUPS_MAX), keys)
+    # Far values count little once squashed; the least spread keeps the quotient finite.
+    squashed = [F.tanh((F.col(x) - F.col(f"_mid{i}")) / F.greatest(F.col(f"_s{i}"), F.lit(floors[i]))) for i, x in enumerate(names)]
+    seen = seen.select(*seen.columns, *(t.alias(f"_t{i}") for i, t in enumerate(squashed)))
+    plain = seen.groupBy(*keys).agg(
+        *(F.first(c).alias(c) for c in usual.columns if c not in keys),
+        *(F.avg(x).alias(f"_avg{i}") for i, x in enumerate(names)),
+        *(F.covar_pop(names[i], names[j]).alias(f"_p{i}{j}") for i, j in triangle),
+        *(F.covar_pop(f"_t{i}", f"_t{j}").alias(f"_r{i}{j}") for i, j in triangle),
+    )
+
+    def related(i: int, j: int) -> Column:
+        spread = F.sqrt(F.col(f"_r{i}{i}") * F.col(f"_r{j}{j}"))
+        return F.when(spread > 0, F.col(f"_r{i}{j}") / spread * F.col(f"_s{i}") * F.col(f"_s{j}")).otherwise(0.0)
+
+    def start(centre: str, cov) -> Column:
+        return F.struct(
+            *(F.col(f"{centre}{i}").alias(f"_m{i}") for i in range(d)), *(cov(i, j).alias(f"_c{i}{j}") for i, j in triangle)
+        )
+
+    starts = F.array(
+        start("_mid", lambda i, j: F.pow(f"_s{i}", F.lit(2.0)) if i == j else F.lit(0.0)),
+        start("_avg", lambda i, j: F.col(f"_p{i}{j}")),
+        start("_mid", lambda i, j: F.pow(f"_s{i}", F.lit(2.0)) if i == j else related(i, j)),
+    )
+    first = plain.select(*keys, F.posexplode(starts).alias("_start", "_first")).select(*each, "_first.*")
+    active = stored(factor(first, 1.0).withColumn("_det", F.lit(math.inf)), "estimate")
+    every = []
+    while True:
+        near = within.select(*keys, *names).join(broadcast_if_small(active, GROUPS_MAX), keys)
+        near = near.withColumn("_d", F.floor(F.log(F.greatest(_distance(names), F.lit(1e-9))) * DISTANCE_BINS))
+        bound = stored(near.groupBy(*each).agg(F.percentile("_d", KEPT_SHARE).alias("_bound")), "bounds")
+        core = near.select(*each, *names, "_d").join(broadcast_if_small(bound, GROUPS_MAX), each).filter("_d <= _bound")
+        moments = core.groupBy(*each).agg(
             *(F.avg(x).alias(f"_m{i}") for i, x in enumerate(names)),
             *(F.covar_pop(names[i], names[j]).alias(f"_c{i}{j}") for i, j in triangle),
         )
-        estimate = stored(factor(moments, consistent), "estimate")
-    return estimate
+        found = stored(factor(moments, consistent), "estimate")
+        every.append(found)
+        falling = found.join(active.select(*each, F.col("_det").alias("_before")), each).filter(
+            F.col("_det") < F.col("_before") - FALL
+        )
+        active = stored(falling.select(*found.columns), "falling")
+        if active.isEmpty():
+            break
+    tried = every[0]
+    for more in every[1:]:
+        tried = tried.unionByName(more)
+    kept = tried.groupBy(*keys).agg(F.min_by(F.struct(*fitted), F.struct("_det", "_start")).alias("_kept"))
+    return stored(kept.select(*keys, "_kept.*"), "estimate")
 
 
 def robust_distances(vectors: DataFrame, names: list[str], floors: list[float]) -> DataFrame:
@@ -223,7 +274,7 @@ def robust_distances(vectors: DataFrame, names: list[str], floors: list[float])
     if not small.isEmpty():
         # Words of some languages are longer: only lengths beside the language's own tell.
         i = names.index("x_length")
-        usual = stored(within.groupBy("_lang").agg(F.percentile_approx("x_length", 0.5, 10_000).alias("_usual")), "lengths")
+        usual = stored(within.groupBy("_lang").agg(_middle(F.percentile(_bin("x_length"), 0.5)).alias("_usual")), "lengths")
         shifted = within.join(broadcast_if_small(usual, GROUPS_MAX), "_lang").select(
             F.lit(0).alias("_all"), *(F.col(x) - F.col("_usual") if x == "x_length" else F.col(x) for x in names)
         ).toDF("_all", *names)

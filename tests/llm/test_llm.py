@@ -348,6 +348,7 @@ def test_quality_counts_and_outliers(spark):
         hit = {k + j for k in range(len(words) - 2) if grams[tuple(words[k : k + 3])] > 1 for j in range(3)}
         assert (got[i].n_words, got[i].word_chars, got[i].n_repeat_words) == (len(words), sum(map(len, words)), len(hit))
         assert got[i].n_symbols == len(re.findall(r"[#*$%&|<>]", text))
+        assert got[i].n_dup_lines == 0
     odd = quality.judge(odd_docs(spark))
     assert odd.count() == 13 and odd.filter("kept and base_failed").count() == 0
     assert quality.judge(empty_docs(spark)).count() == 0
@@ -368,21 +369,37 @@ def numpy_kept(rows):
         ])
         for r in within
     }
-    rank = lambda v, p: np.sort(v, axis=0)[int(np.ceil(p * len(v))) - 1]
+    bins = lambda v, p: np.quantile(np.floor(v * quality.VALUE_BINS), p, axis=0)
+    middle = lambda v: (bins(v, 0.5) + 0.5) / quality.VALUE_BINS
 
     def far(v, m, cov):
         return np.einsum("ij,jk,ik->i", v - m, np.linalg.inv(cov + np.diag(floors**2)), v - m)
 
+    def starts(v):
+        m, s = middle(v), (bins(v, 0.75) - bins(v, 0.25)) / quality.VALUE_BINS / 1.349
+        r = np.cov(np.tanh((v - m) / np.maximum(s, floors)).T, bias=True)
+        spread = np.sqrt(np.outer(np.diag(r), np.diag(r)))
+        r = np.divide(r, spread, out=np.zeros_like(r), where=spread > 0)
+        np.fill_diagonal(r, 1)
+        return [(m, np.diag(s**2)), (v.mean(axis=0), np.cov(v.T, bias=True)), (m, r * np.outer(s, s))]
+
     def estimate(v):
-        m, cov = rank(v, 0.5), np.diag(((rank(v, 0.75) - rank(v, 0.25)) / 1.349) ** 2)
-        for _ in range(quality.STEPS):
-            dist = far(v, m, cov)
-            core = v[dist <= rank(dist, quality.KEPT_SHARE)]
-            m, cov = core.mean(axis=0), np.cov(core.T, bias=True) * scale
-        return m, cov
+        tried = []
+        for m, cov in starts(v):
+            before = np.inf
+            while True:
+                dist = np.floor(np.log(np.maximum(far(v, m, cov), 1e-9)) * quality.DISTANCE_BINS)
+                core = v[dist <= np.quantile(dist, quality.KEPT_SHARE)]
+                m, cov = core.mean(axis=0), np.cov(core.T, bias=True) * scale
+                det = np.linalg.slogdet(cov + np.diag(floors**2))[1]
+                tried.append((det, m, cov))
+                if det >= before - quality.FALL:
+                    break
+                before = det
+        return min(tried, key=lambda t: t[0])[1:]
 
     kept = {r.doc_id: False for r in rows}
-    usual = {k: rank(np.array([x[r.doc_id][1] for r in within if r.lang == k]), 0.5) for k in {r.lang for r in within}}
+    usual = {k: middle(np.array([x[r.doc_id][1] for r in within if r.lang == k])) for k in {r.lang for r in within}}
     shift = lambda k: np.array([0, usual[k], 0, 0, 0])
     for r in within:
         group = [x[o.doc_id] for o in within if (o.lang, o.source) == (r.lang, r.source)]
@@ -420,6 +437,20 @@ def test_quality_judges_small_groups(spark):
     assert all(got[r[0]] == (r[5] == "fine") for r in rows)
 
 
+def test_quality_query(spark, docs):
+    """The registered query against counts by Python and estimates by numpy."""
+    from emberscope.llm.queries import op9_quality_rules
+
+    texts = {r.doc_id: r for r in docs.collect()}
+    judged = quality.judge(docs).collect()
+    got = {r.doc_id: r for r in op9_quality_rules(spark, SF_DIR).collect()}
+    assert got.keys() == texts.keys()
+    assert {i: r.kept for i, r in got.items()} == numpy_kept(judged)
+    for i, r in got.items():
+        lines = [x for x in (texts[i].text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert r.n_dup_lines == len(lines) - len(set(lines))
+
+
 def test_quality_few_documents(spark):
     assert quality.distance_bound(6, 5) == float("inf") and 60 < quality.distance_bound(49, 5) < quality.distance_bound(30, 5)
     assert abs(quality._f_tail(3.3258, 5, 10) - 0.05) < 1e-4
