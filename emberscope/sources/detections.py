@@ -31,9 +31,11 @@ def file_lines(reader, paths: str | list[str]) -> DataFrame:
 def _with_cells(df: DataFrame, width: int) -> DataFrame:
     """``df`` with ``cells``: the fields of ``value`` as ``width`` strings, null where there are fewer.
 
-    In two steps, so that a line is parsed once and not once per field.
+    A line gives one row of an explode: filters on its fields are not moved below that, where
+    the optimizer would put the parser in for every field they name.
     """
-    parsed = df.withColumn("parsed", F.from_csv("value", ", ".join(f"c{i} STRING" for i in range(width))))
+    schema = ", ".join(f"c{i} STRING" for i in range(width))
+    parsed = df.select("*", F.explode(F.array(F.from_csv("value", schema))).alias("parsed"))
     return parsed.withColumn("cells", F.array(*(f"parsed.c{i}" for i in range(width)))).drop("value", "parsed")
 
 
@@ -71,9 +73,11 @@ def fields_by_name(lines: DataFrame) -> DataFrame:
         .join(broadcast_if_small(orders), "file", "left")
         .select("value", given.alias("names"))
     )
-    return _with_cells(rows, widest).select(
-        *(F.get("cells", F.array_position("names", F.lit(c)).cast("int") - 1).alias(c) for c in DETECTION_FEED.names)
+    fields = (
+        F.get("cells", F.array_position("names", F.lit(c)).cast("int") - 1).alias(c) for c in DETECTION_FEED.names
     )
+    # One row again, so that fields are looked up once however often the checks name them.
+    return _with_cells(rows, widest).select(F.inline(F.array(F.struct(*fields))))
 
 
 def scan_detections(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -235,6 +235,18 @@ def test_columns_are_found_by_name(spark, tmp_path):
         src.scan_detections(spark, twice).collect()
 
 
+def test_a_line_is_parsed_once_under_the_checks(spark, tmp_path, capsys):
+    raw = src.scan_detections(spark, feed(tmp_path, "a.csv", line(1, 2), line(3, 4, frp="x")))
+    valid, rejected = src.check_records(raw)
+    for rows in (valid, rejected):
+        rows.explain("extended")
+        optimized = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+        # Once for the headers and once for the lines.
+        assert optimized.count("from_csv(") == 2
+    assert [(r.latitude, r.longitude) for r in valid.collect()] == [(1.0, 2.0)]
+    assert [r.problems for r in rejected.collect()] == [["frp"]]
+
+
 def test_undecodable_and_crossing_areas_are_rejected(spark):
     bow = [(0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 3.0), (0.0, 0.0)]
     rows = [(1, bytearray(wkb([SQUARE]))), (2, bytearray(b"junk")), (3, None), (4, bytearray(wkb([bow])))]
