@@ -15,6 +15,7 @@ from emberscope.plans import marts
 from emberscope.plans import validation as val
 from emberscope.plans.events import cluster_events
 from emberscope.plans.export import export
+from emberscope.session import join_by_measured_size
 from emberscope.sources import polygons, versions
 
 # The tables that must not be empty, in the order they are built.
@@ -69,6 +70,7 @@ def build(
     it as they were. Detections outside ``start .. end`` stay in the stored tries.
     """
     spark = inputs.detections.sparkSession
+    join_by_measured_size(spark)
     counts: list[tuple[str, int]] = []
 
     def store(df: DataFrame, name: str, by_day: bool = False) -> DataFrame:

@@ -48,6 +48,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def join_by_measured_size(spark: SparkSession) -> None:
+    """Let adaptive execution alone choose which unhinted sides are broadcast.
+
+    The planner's estimate knows neither how many rows an explode makes of one nor what a
+    compressed file holds, and a checkpoint keeps it. Of covers, edges and pixels it is a
+    hundredth of the truth, so whole tables would go through the driver as "small". The
+    limit of the session then holds for sizes measured at run time.
+    """
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if limit == "-1":
+        return
+    if spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", limit)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+
 def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """Measured: at most ``max_rows`` rows; reading stops there."""
     return df.limit(max_rows + 1).count() <= max_rows
@@ -65,6 +81,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 _shipped: set[str] = set()
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores, by key: for small files whose rows become many or costly ones.
+
+    A small file is one task, however much is made of its rows; adaptive execution leaves a
+    number of partitions given here as it is.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 1), *keys)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers; needed by the few Python functions."""
     app = spark.sparkContext.applicationId

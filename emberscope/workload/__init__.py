@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from emberscope.session import join_by_measured_size
 from emberscope.workload import (  # noqa: F401
     event_queries,
     feed_queries,
@@ -17,6 +18,7 @@ from emberscope.workload.views import Views
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    join_by_measured_size(spark)
     return QUERIES[name].run(Views(spark, sf_dir))
 
 

@@ -377,3 +377,14 @@ def test_repeated_load_replaces_its_rejects(spark, tmp_path):
     assert sorted(r.latitude for r in spark.read.parquet(table).collect()) == [1.0, 3.0]
     with pytest.raises(Exception, match="bad detection record"):
         ing.load_days(spark, other, country, "SDN", table, strict=True)
+
+
+def test_sides_are_not_broadcast_by_estimate(spark, tmp_path, capsys):
+    """A small file of keys from which many edges are made."""
+    from emberscope.workload import run
+
+    spark.range(3000).selectExpr("id AS c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    found = run("self_crossing_areas", spark, str(tmp_path))
+    found.explain()
+    assert "BroadcastHashJoin" not in capsys.readouterr().out
+    assert found.count() == 1000
