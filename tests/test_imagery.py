@@ -1,6 +1,7 @@
 """Imagery checks on hand-made scenes, pixels and buildings."""
 
 import datetime
+import random
 
 from emberscope.config import ImageryParams
 from emberscope.functions import geometry as g
@@ -176,3 +177,33 @@ def test_regions_are_four_connected(spark):
     got = sorted((r.after_scene, r.n_pixels) for r in region_summary(df).collect())
     assert got == sorted([(2, 1), (2, 7), (2, 6), (2, len(snake)), (3, 1), (3, 7), (3, 6)])
     assert label_regions(df).select("region").distinct().count() == 4
+
+
+def test_regions_of_few_and_many_runs(spark, monkeypatch):
+    """Labels in one go and in rounds agree with a flood fill, pair by pair."""
+    from emberscope.operators import regions
+
+    rng = random.Random(5)
+    cells = {(pair, x, y) for pair in range(4) for x in range(14) for y in range(9) if rng.random() < 0.55}
+    expected, left = [], set(cells)
+    while left:
+        todo, seen = [left.pop()], []
+        while todo:
+            pair, x, y = todo.pop()
+            seen.append((x, y))
+            for near in ((pair, x + 1, y), (pair, x - 1, y), (pair, x, y + 1), (pair, x, y - 1)):
+                if near in left:
+                    left.remove(near)
+                    todo.append(near)
+        xs, ys = zip(*seen)
+        expected.append((pair, len(seen), min(xs), max(xs), min(ys), max(ys)))
+    rows = [(pair, pair + 10, x, y) for pair, x, y in cells] + [(0, 10, None, 3), (1, 11, 4, None)]
+    df = spark.createDataFrame(rows, "before_scene long, after_scene long, px long, py long")
+    lone = [(0, 1, None, None, 3, 3), (1, 1, 4, 4, None, None)]
+    for few in (10_000, 40, 0):
+        monkeypatch.setattr(regions, "FEW_RUNS", few)
+        found = [
+            (r.before_scene, r.n_pixels, r.px_min, r.px_max, r.py_min, r.py_max)
+            for r in regions.region_summary(df).collect()
+        ]
+        assert sorted(map(str, found)) == sorted(map(str, expected + lone))
