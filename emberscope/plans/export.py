@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from emberscope.functions.links import with_links
-from emberscope.sources.files import write_csv
+from emberscope.sources.files import in_order, write_csv
 
 DETECTION_ORDER = ["area_include_id", "event_no", "acq_date"]
 EVENT_ORDER = ["area_include_id", "event_no", "start_date"]
@@ -18,9 +18,14 @@ def export(
     add_links: bool = False,
     date_buffer_days: int = 3,
 ) -> None:
-    """Write ``output`` and ``output_clustered`` below ``path``."""
-    if add_links:
-        detections = with_links(detections, date_buffer_days=date_buffer_days)
-        events = with_links(events, date_buffer_days=date_buffer_days)
-    write_csv(detections, f"{path}/output", DETECTION_ORDER)
-    write_csv(events, f"{path}/output_clustered", EVENT_ORDER)
+    """Write ``output`` and ``output_clustered`` below ``path``.
+
+    Links are made of the sorted rows: they are far longer than all else, and the sort
+    would move them.
+    """
+    for df, folder, order in (
+        (detections, "output", DETECTION_ORDER),
+        (events, "output_clustered", EVENT_ORDER),
+    ):
+        rows = in_order(df, order)
+        write_csv(with_links(rows, date_buffer_days=date_buffer_days) if add_links else rows, f"{path}/{folder}")

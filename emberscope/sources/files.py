@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def in_order(df: DataFrame, order: list[str]) -> DataFrame:
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]) if order else df
+
+
 def write_csv(df: DataFrame, path: str, order: list[str] = ()) -> None:
     """Headed CSV parts; ``order`` sorts the rows across the parts."""
-    out = df.orderBy(*[F.col(c).asc_nulls_last() for c in order]) if order else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    in_order(df, order).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:

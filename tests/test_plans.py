@@ -65,3 +65,23 @@ def test_no_local_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         session.shared_dir(Session())
+
+
+def test_export_sorts_rows_before_links_are_made(spark, tmp_path, monkeypatch, capsys):
+    from emberscope.plans import export as ex
+
+    frames = []
+    monkeypatch.setattr(ex, "write_csv", lambda df, path, order=(): frames.append(df))
+    one = spark.sql(
+        "SELECT id AS event_no, 'A' AS area_include_id, DATE'2024-01-02' AS acq_date, DATE'2024-01-02' AS start_date,"
+        " DATE'2024-01-01' AS before_date, DATE'2024-01-03' AS after_date, 1D AS latitude, 2D AS longitude,"
+        " 'P' AS settlement_name FROM range(5)"
+    )
+    ex.export(one, one, str(tmp_path), add_links=True)
+    assert len(frames) == 2
+    for df in frames:
+        df.explain()
+        plan = capsys.readouterr().out
+        assert "HYPERLINK" in plan.split("rangepartitioning")[0]
+        assert "HYPERLINK" not in plan.split("rangepartitioning")[1]
+        assert [r.event_no for r in df.collect()] == [0, 1, 2, 3, 4]
