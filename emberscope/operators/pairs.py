@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberscope.functions import geometry as g
-from emberscope.operators.extent import _corners, _farthest, _wide, event_extent, farthest_between
-from emberscope.session import cut_lineage
+from emberscope.operators.extent import _corners, _farthest, _wide, event_extent
+from emberscope.session import broadcast_if_small, cut_lineage, scratch_path
 
 # Cells per cutoff: a cell is small against the cutoff, so its points are few and
 # most cell pairs are decided by their boxes alone.
@@ -175,6 +175,97 @@ def _extent_by_cells(
     )
 
 
+# Side of the first cells, and how many distances per pair of cells are few enough to be
+# taken one by one; cells below the smallest side hold one position of the feed.
+FIRST_STEP, FEW_DISTANCES, MOST_DISTANCES, SMALLEST_STEP = 16.0, 8, 4096, 1e-6
+# Metres a computed distance may be off: close to the antipode the formula loses half its digits.
+SLACK_M = 1.0
+
+
+def _centred(points: DataFrame, keys: list[str], step: float, side: str, *more) -> DataFrame:
+    """Per cell of ``step``: the centre of its points' box and how many metres they are off it at most."""
+    per_degree = math.radians(1.0) * g.EARTH_RADIUS_M
+    i, j, x, y, r, n = (f"{side}{c}" for c in ("i", "j", "x", "y", "r", "n"))
+    boxes = (
+        points.selectExpr("*", f"{g.cell_sql('x', step)} AS {i}", f"{g.cell_sql('y', step)} AS {j}")
+        .groupBy(*keys, i, j)
+        .agg(
+            *(F.expr(f"{f}({c}) AS {f}_{c}") for f in ("min", "max") for c in ("x", "y")),
+            F.count("*").alias(n),
+            *more,
+        )
+    )
+    wide = "(max_x - min_x) * cos(radians(greatest(min_y, -max_y, 0D)))"
+    return boxes.selectExpr(
+        "*",
+        f"(min_x + max_x) / 2D AS {x}",
+        f"(min_y + max_y) / 2D AS {y}",
+        f"sqrt(pow({wide}, 2) + pow(max_y - min_y, 2)) * {per_degree / 2.0!r}D AS {r}",
+    ).drop("min_x", "max_x", "min_y", "max_y")
+
+
+def _cell_pairs(a: DataFrame, b: DataFrame) -> tuple[DataFrame, float]:
+    """Per cell of ``a`` the cells of ``b`` that hold its positions' farthest partners; the side of the cells.
+
+    ``best`` is a position of ``b`` that is at least ``d`` metres from every one in the cell,
+    with a larger id than all of them. A part of the cell begins with it, so most partners
+    go before they meet the others.
+    """
+    block, step, blocks = ["event_no", "bucket", "ai", "aj"], FIRST_STEP, None
+    spark = a.sparkSession
+    while True:
+        one = _centred(a, ["event_no", "bucket"], step, "a", F.min("id").alias("lo"), F.max("id").alias("hi"))
+        two = _centred(
+            b, ["event_no"], step, "b", F.max("id").alias("top"), F.expr("max_by(struct(x, y), id) AS last")
+        )
+        if blocks is None:
+            nothing = F.expr("named_struct('d', 0D, 'x', 0D, 'y', 0D, 'id', 0L) AS best")
+            met = one.select("*", nothing).join(broadcast_if_small(two), "event_no")
+        else:
+            up = lambda side: [f"CAST(floor({side}{c} / 2D) AS BIGINT) AS {side}{c}0" for c in "ij"]
+            parents = blocks.withColumnsRenamed({"ai": "ai0", "aj": "aj0"})
+            kept = parents.selectExpr("event_no", "inline(others)").select("event_no", "bi", "bj").distinct()
+            # Far corners are the partners of almost all cells: then few cells are left here.
+            two = cut_lineage(
+                two.selectExpr("*", *up("b")).join(
+                    kept.withColumnsRenamed({"bi": "bi0", "bj": "bj0"}), ["event_no", "bi0", "bj0"], "left_semi"
+                )
+            )
+            still = f"IF(best.id > hi, {g.haversine_sql('ax', 'ay', 'best.x', 'best.y')} - ar, 0D)"
+            met = (
+                parents.join(one.selectExpr("*", *up("a")), ["event_no", "bucket", "ai0", "aj0"])
+                .withColumn("best", F.expr(f"named_struct('d', greatest(0D, {still}), 'x', best.x, 'y', best.y, 'id', best.id)"))
+                .selectExpr(
+                    *block, "ax", "ay", "ar", "an", "lo", "hi", "best",
+                    "inline(transform(filter(others, o -> o.at_most >= best.d), o -> struct(o.bi AS bi0, o.bj AS bj0)))",
+                )
+                .join(broadcast_if_small(two), ["event_no", "bi0", "bj0"])
+            )
+        blocks = (
+            met.filter("top > lo")
+            .selectExpr(
+                *block, "bi", "bj", "an * bn AS work", "best",
+                f"{g.haversine_sql('ax', 'ay', 'bx', 'by')} + ar + br + {SLACK_M!r}D AS at_most",
+                f"named_struct('d', IF(top > hi, {g.haversine_sql('ax', 'ay', 'last.x', 'last.y')} - ar, 0D),"
+                " 'x', last.x, 'y', last.y, 'id', top) AS last",
+            )
+            .filter("at_most >= best.d")
+            .groupBy(*block)
+            .agg(
+                F.collect_list(F.struct("bi", "bj", "work", "at_most")).alias("others"),
+                F.max(F.greatest("best", "last")).alias("best"),
+            )
+            .withColumn("others", F.expr("filter(others, o -> o.at_most >= best.d)"))
+        )
+        path = scratch_path(spark, "cell-pairs")
+        blocks.write.parquet(path)
+        blocks = spark.read.parquet(path)
+        n, total, most = blocks.selectExpr("inline(others)").agg(F.count("*"), F.sum("work"), F.max("work")).first()
+        if not n or (total <= FEW_DISTANCES * n and most <= MOST_DISTANCES) or step <= SMALLEST_STEP:
+            return blocks, step
+        step /= 2.0
+
+
 def extent_across_areas(
     detections: DataFrame,
     id_col: str = "firms_id",
@@ -185,46 +276,60 @@ def extent_across_areas(
     """Per (area, event_no): farthest pair a, b with a in the area, b in any area's
     event of the same number, and a's id below b's.
 
-    Two different ids part at exactly one binary digit: above it they agree, at it
-    the smaller has 0. So for every digit the rows are grouped by the digits above,
-    and an area's zeros meet all ones of that group. Both sides enter as hulls,
-    which keeps the work at one row per digit and detection instead of one per
-    pair of detections.
+    Two positions make a pair if the smallest id at the first is below the largest at the
+    second, so a detection enters once on each side. Both sides are cut into cells, and pairs
+    of cells whose distance is at most so large that every position of the first has a
+    farther partner go; the others are halved until few positions are left in them. First
+    cells are kept apart by how far their ids are from the largest, so that most of a cell's
+    positions have the same partners. Cells follow the place on the sphere.
     """
-    rows = detections.select("area_id", "event_no", id_col, lon, lat)
-    ends = rows.agg(F.min(id_col), F.max(id_col)).first()
-    # Digits at which no two ids can part are left out; the sign counts as the top one.
-    size = 64 if (ends[0] or 0) < 0 <= (ends[1] or 0) else ((ends[0] or 0) ^ (ends[1] or 0)).bit_length()
-    digits = rows.selectExpr(
-        "*", f"explode(sequence(0, {max(size - 1, 0)})) AS digit"
-    ).selectExpr(
-        "*",
-        f"IF(digit = 63, 0L, shiftright({id_col}, digit + 1)) AS above",
-        f"IF(digit = 63, CAST({id_col} >= 0 AS INT), CAST(shiftright({id_col}, digit) & 1 AS INT)) AS bit",
-    )
-    node = ["event_no", "digit", "above"]
-    box = ["u0", "u1", "v0", "v1"]
-    zeros = _corners(digits.filter("bit = 0"), ["area_id", *node], lon, lat, axis_order)
-    ones = _corners(digits.filter("bit = 1"), node, lon, lat, axis_order).withColumnsRenamed(
-        {"corners": "others"} | {c: f"o_{c}" for c in box}
+    u, v = (lon, lat) if axis_order == "lonlat" else (lat, lon)
+    # What is no number has no distance, like null.
+    rows = cut_lineage(
+        detections.selectExpr(
+            "area_id", "event_no", f"{id_col} AS id",
+            f"nanvl(CAST({u} AS DOUBLE), NULL) AS u", f"nanvl(CAST({v} AS DOUBLE), NULL) AS v",
+        )
+    )
+    tops = broadcast_if_small(rows.groupBy("event_no").agg(F.max("id").alias("event_top")))
+    paired = (
+        rows.groupBy("area_id", "event_no").agg(F.min("id").alias("id")).join(tops, "event_no").filter("id < event_top")
     )
-    distance = g.haversine_sql("a.u", "a.v", "b.u", "b.v")
-    wide = _wide("least(u0, o_u0)", "greatest(u1, o_u1)", "least(v0, o_v0)", "greatest(v1, o_v1)")
-    met = cut_lineage(
-        zeros.join(ones, node).selectExpr(
-            "area_id",
-            *node,
-            f"{wide} AS wide",
-            f"array_max(transform(corners, a -> array_max(transform(others, b -> {distance})))) AS d",
+    place = [f"{_place_x('u', 'v')} AS x", f"{_place_y('v')} AS y"]
+    placed = rows.filter("u IS NOT NULL AND v IS NOT NULL")
+    a = (
+        placed.groupBy("area_id", "event_no", "u", "v")
+        .agg(F.min("id").alias("id"))
+        .join(tops, "event_no")
+        .filter("id < event_top")
+        .selectExpr(
+            "area_id", "event_no", "u", "v", "id",
+            "CAST(log2(1D + (CAST(event_top AS DOUBLE) - CAST(id AS DOUBLE))) AS INT) AS bucket", *place,
         )
+    )
+    b = placed.groupBy("event_no", "u", "v").agg(F.max("id").alias("id")).selectExpr("*", *place)
+    # Neighbours lie together, so cells are made mostly within a task.
+    near = [F.floor("x"), F.floor("y")]
+    a, b = cut_lineage(a.repartition(*near)), cut_lineage(b.repartition(*near))
+    blocks, step = _cell_pairs(a, b)
+    cells = lambda side: [f"{g.cell_sql(p, step)} AS {side}{c}" for p, c in (("x", "i"), ("y", "j"))]
+    kept = blocks.selectExpr("event_no", "inline(others)").select("event_no", "bi", "bj").distinct()
+    partners = cut_lineage(
+        b.selectExpr("event_no", "u AS bu", "v AS bv", "id AS b_id", *cells("b"))
+        .join(kept, ["event_no", "bi", "bj"], "left_semi")
     )
-    found = met.filter("NOT wide").select("area_id", "event_no", "d")
-    open_nodes = met.filter("wide").select("area_id", *node)
-    if open_nodes.limit(1).count():
-        u, v = (lon, lat) if axis_order == "lonlat" else (lat, lon)
-        points = digits.selectExpr("area_id", *node, "bit", f"{u} AS u", f"{v} AS v")
-        a = points.filter("bit = 0").join(open_nodes, ["area_id", *node], "left_semi").drop("bit")
-        b = points.filter("bit = 1").join(open_nodes, node, "left_semi").drop("bit", "area_id")
-        more = farthest_between(a, b, ["area_id", *node], node)
-        found = found.unionByName(more.select("area_id", "event_no", F.col("max_distance").alias("d")))
-    return found.groupBy("area_id", "event_no").agg(F.max("d").alias("max_distance"))
+    still = f"IF(best.id > id, {g.haversine_sql('x', 'y', 'best.x', 'best.y')}, 0D)"
+    found = (
+        blocks.join(a.selectExpr("*", *cells("a")), ["event_no", "bucket", "ai", "aj"])
+        .withColumn("still", F.expr(still))
+        .selectExpr(
+            "area_id", "event_no", "u", "v", "id",
+            "inline(transform(filter(others, o -> o.at_most >= still), o -> struct(o.bi, o.bj)))",
+        )
+        .join(broadcast_if_small(partners), ["event_no", "bi", "bj"])
+        .filter("id < b_id")
+        .groupBy("area_id", "event_no")
+        .agg(F.expr(f"max({g.haversine_sql('u', 'v', 'bu', 'bv')})").alias("max_distance"))
+    )
+    same = F.expr("p.event_no = f.event_no AND p.area_id <=> f.area_id")
+    return paired.alias("p").join(found.alias("f"), same, "left").select("p.area_id", "p.event_no", "f.max_distance")

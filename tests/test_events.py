@@ -184,6 +184,21 @@ def test_extent_across_areas_with_signed_ids_round_the_globe(spark):
         assert got[area] == pytest.approx(want, abs=0.01)
 
 
+def test_extent_across_areas_keeps_areas_without_a_name_and_positions_without_numbers(spark):
+    """Wide events, so cells are halved; a pair without distance still makes a row."""
+    rows, df = _world(spark, 4, 40)
+    df = df.withColumn("area_id", functions.expr("nullif(pmod(firms_id, 2), 0)"))
+    got = {r.area_id: r.max_distance for r in extent_across_areas(df).collect()}
+    assert set(got) == {None, 1}
+    for area in got:
+        mine = [r for r in rows if r[1] % 2 == (area or 0)]
+        want = max(_metres(a[2:], b[2:]) for a in mine for b in rows if a[1] < b[1])
+        assert got[area] == pytest.approx(want, abs=0.01)
+    odd = [(1, 1, 7, float("nan"), 0.0), (2, 1, 8, 1.0, None), (2, 2, 9, 1.0, 1.0)]
+    df = spark.createDataFrame(odd, "area_id int, event_no int, firms_id long, lon double, lat double")
+    assert [tuple(r) for r in extent_across_areas(df).collect()] == [(1, 1, None)]
+
+
 @pytest.mark.parametrize(
     "lon, lat, axis_order", [(112.0, 20.0, "latlon"), (180.0, 10.0, "lonlat"), (0.0, 90.0, "lonlat"), (90.0, 5.0, "latlon")]
 )
