@@ -113,7 +113,8 @@ def _keys(cp: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 class BatchEncoder:
-    """Encodes lists of texts; ``encode_words`` turns distinct pre-tokens into id lists.
+    """Encodes lists of texts; ``encode_words`` turns distinct pre-tokens into id lists, or
+    into the bytes of their unsigned 32-bit ids.
 
     ``whole`` encodes one text by itself and serves texts that hold a special string.
     """
@@ -121,7 +122,7 @@ class BatchEncoder:
     def __init__(
         self,
         words: bool,
-        encode_words: Callable[[list[str]], list[list[int]]],
+        encode_words: Callable[[list[str]], list[list[int]] | list[bytes]],
         whole: Callable[[str], list[int]],
         special: tuple[str, ...],
     ):
@@ -129,15 +130,14 @@ class BatchEncoder:
         self.cache: dict[str, bytes] = {}
 
     def _look_up(self, found: list[str]) -> list[bytes]:
-        get = self.cache.get
-        out = [get(w) for w in found]
+        out = list(map(self.cache.get, found))
         missing = [i for i, b in enumerate(out) if b is None]
         if missing:
             if len(self.cache) + len(missing) > CACHE_WORDS:
                 self.cache.clear()
             new = [found[i] for i in missing]
             for i, w, ids in zip(missing, new, self.encode_words(new)):
-                out[i] = self.cache[w] = array("I", ids).tobytes()
+                out[i] = self.cache[w] = ids if type(ids) is bytes else array("I", ids).tobytes()
         return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -213,4 +213,22 @@ def library_encoder(path: str) -> BatchEncoder:
     def encode_words(found: list[str]) -> list[list[int]]:
         return [e.ids for e in tok.encode_batch_fast(found, add_special_tokens=False)]
 
+    if not words:
+        # A token of a byte vocabulary is written with one character for each of its bytes.
+        token_bytes = np.zeros(max(tok.get_vocab().values()) + 1, np.int64)
+        for token, i in tok.get_vocab().items():
+            token_bytes[i] = len(token)
+        one_by_one = encode_words
+
+        def encode_words(found: list[str]) -> list[list[int]] | list[bytes]:
+            """All words in one go; their ids are told apart by the bytes that tokens stand for."""
+            ids = np.array(tok.encode_batch_fast([found], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+            word_ends = np.cumsum(np.fromiter((len(w.encode("utf-8", "surrogatepass")) for w in found), np.int64, len(found)))
+            token_ends = np.cumsum(token_bytes[ids])
+            at = np.searchsorted(token_ends, word_ends)
+            if not len(ids) or token_ends[-1] != word_ends[-1] or (token_ends[at] != word_ends).any():
+                return one_by_one(found)
+            flat, ends = ids.tobytes(), (4 * (at + 1)).tolist()
+            return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
     return BatchEncoder(words, encode_words, lambda t: tok.encode(t, add_special_tokens=False).ids, special)

@@ -502,3 +502,14 @@ def test_pipeline(spark):
             out.count()
     masked = cp.secret_scan(spark, odd_docs(spark), SF_DIR).filter("doc_id = 9").first()
     assert "abcdef0123" not in masked.text and masked.n_chars == len(masked.text)
+
+
+def test_new_words_of_a_byte_vocabulary_are_encoded_in_one_go():
+    import numpy as np
+
+    encoder = library_encoder(vocabulary("byte_bpe_50k.json"))
+    found = ["the", " quick", " ", "\n\n", "\x00", "é", " 中文", "🔥", "\t", "a" * 500, "'s", " 12345", "﷽", "퟿"]
+    each = [encoder.whole(w) for w in found]
+    got = encoder.encode_words(found)
+    assert all(isinstance(b, bytes) for b in got)
+    assert [np.frombuffer(b, np.uint32).tolist() for b in got] == each
