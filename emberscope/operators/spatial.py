@@ -22,6 +22,8 @@ from emberscope.schemas import EDGES
 from emberscope.session import cut_lineage
 
 SMALL_POLYGON_EDGES = 64
+# Edges times cells up to which a polygon is cut up within its row.
+FEW_EDGE_CELLS = 4096
 BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 _ROW_BYTES, _EDGE_BYTES = 160, 32
 # Place of the reference position inside a cell, kept off round fractions so that
@@ -117,19 +119,58 @@ def polygon_cover(
         *boxes,
     )
     if small_edges is not None:
-        large = base.filter(f"size(cov_edges) > {small_edges}").withColumn(
-            "cov_id", F.expr("md5(to_json(cov_edges))")
-        )
-        cover = cover.unionByName(
-            _cut_up(large, keep, cell_deg, "cov_id").selectExpr(*keep, *_COVER_COLUMNS, *boxes)
-        )
+        large = base.filter(f"size(cov_edges) > {small_edges}")
+        (x0, x1), (y0, y1) = ((g.cell_sql(f"{c}min", cell_deg), g.cell_sql(f"{c}max", cell_deg)) for c in "xy")
+        few = f"CAST(size(cov_edges) AS DOUBLE) * ({x1} - {x0} + 1) * ({y1} - {y0} + 1) <= {FEW_EDGE_CELLS}"
+        many = large.filter(f"NOT coalesce({few}, false)").withColumn("cov_id", F.expr("md5(to_json(cov_edges))"))
+        for cut in (_cut_in_row(large.filter(few), keep, cell_deg), _cut_up(many, keep, cell_deg, "cov_id")):
+            cover = cover.unionByName(cut.selectExpr(*keep, *_COVER_COLUMNS, *boxes))
     return PolygonCover(cover, cell_deg, tuple(keep))
 
 
+def _reference(cell_deg: float) -> tuple[str, str]:
+    s = f"{float(cell_deg)!r}D"
+    return f"((cov_ix + {_REF_SHARE_X}D) * {s})", f"((cov_iy + {_REF_SHARE_Y}D) * {s})"
+
+
+def _flip_cell(ref_y: str, cell_deg: float) -> str:
+    """The first cell of a grid row whose reference position is right of the edge ``e``."""
+    return (
+        f"CAST(floor((e.x1 + ({ref_y} - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)) / {float(cell_deg)!r}D"
+        f" - {_REF_SHARE_X}D) AS BIGINT) + 1"
+    )
+
+
+def _cut_in_row(polygons: DataFrame, keep: list[str], cell_deg: float) -> DataFrame:
+    """What ``_cut_up`` makes of polygons with few edges and cells, without moving a row."""
+    ref_x, ref_y = _reference(cell_deg)
+    (x0, x1), (y0, y1) = ((g.cell_sql(f"{c}min", cell_deg), g.cell_sql(f"{c}max", cell_deg)) for c in "xy")
+    spans = lambda c: (
+        f"cov_i{c} BETWEEN {g.cell_sql(f'least(e.{c}1, e.{c}2)', cell_deg)}"
+        f" AND {g.cell_sql(f'greatest(e.{c}1, e.{c}2)', cell_deg)}"
+    )
+    box = ["xmin", "ymin", "xmax", "ymax"]
+    rows = polygons.selectExpr(*keep, *box, "cov_edges", f"explode(sequence({y0}, {y1})) AS cov_iy").selectExpr(
+        *keep, *box, "cov_iy",
+        f"filter(cov_edges, e -> {spans('y')}) AS row_edges",
+        f"transform(filter(cov_edges, e -> (e.y1 <= {ref_y}) != (e.y2 <= {ref_y})),"
+        f" e -> {_flip_cell(ref_y, cell_deg)}) AS flips",
+    )
+    # One array of cells, so that no filter is moved to where edges are tested again.
+    cells = (
+        f"filter(transform(sequence({x0}, {x1}), cov_ix -> named_struct('cov_ix', cov_ix,"
+        f" 'cov_edges', filter(row_edges, e -> {spans('x')} AND {_edge_in_cell('e', cell_deg)}),"
+        " 'cov_ref_inside', size(filter(flips, f -> f <= cov_ix)) % 2 = 1)),"
+        " c -> size(c.cov_edges) > 0 OR c.cov_ref_inside)"
+    )
+    return rows.selectExpr(*keep, *box, "cov_iy", f"inline({cells})").selectExpr(
+        "*", f"{ref_x} AS cov_ref_x", f"{ref_y} AS cov_ref_y"
+    )
+
+
 def _cut_up(large: DataFrame, keep: list[str], cell_deg: float, id_col: str) -> DataFrame:
     """Per cell: the edges passing through and the parity of the reference position."""
-    s = f"{float(cell_deg)!r}D"
-    ref_x, ref_y = f"((cov_ix + {_REF_SHARE_X}D) * {s})", f"((cov_iy + {_REF_SHARE_Y}D) * {s})"
+    ref_x, ref_y = _reference(cell_deg)
     # Equal content is built once, the labels bring the copies back.
     unique = large.groupBy(id_col).agg(
         *[F.first(c).alias(c) for c in ("cov_edges", "xmin", "ymin", "xmax", "ymax")]
@@ -158,8 +199,7 @@ def _cut_up(large: DataFrame, keep: list[str], cell_deg: float, id_col: str) ->
         .selectExpr(
             id_col,
             "cov_iy",
-            f"CAST(floor((e.x1 + ({ref_y} - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)) / {s}"
-            f" - {_REF_SHARE_X}D) AS BIGINT) + 1 AS cov_ix",
+            f"{_flip_cell(ref_y, cell_deg)} AS cov_ix",
         )
         .groupBy(id_col, "cov_ix", "cov_iy")
         .agg(F.count("*").alias("n_flips"))

@@ -44,7 +44,7 @@ def detections_in_areas(v: Views) -> DataFrame:
 )
 def detections_in_split_areas(v: Views) -> DataFrame:
     """Same join with polygons cut into cells finer than themselves."""
-    cover = spatial.polygon_cover(v.areas(), ["area_id"], 0.02, small_edges=3).stored()
+    cover = spatial.polygon_cover(v.areas(), ["area_id"], 0.02, small_edges=3)
     hits = spatial.points_in_polygons(v.detections().select("firms_id", "lon", "lat"), cover)
     return hits.groupBy("area_id").agg(
         F.count("*").alias("n_detections"), F.sum("firms_id").alias("sum_ids")

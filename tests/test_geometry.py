@@ -151,3 +151,32 @@ def test_distances(spark):
     assert rows[1].m == pytest.approx(hav(10, 50, 11, 50.5))
     assert rows[1].swapped == pytest.approx(hav(50, 10, 50.5, 11))
     assert rows[1].deg == pytest.approx(math.hypot(1, 0.5))
+
+
+def test_small_polygons_are_cut_up_in_their_row(spark, monkeypatch):
+    """The same cover as by shuffles, and no shuffle for it."""
+    from emberscope.operators import spatial
+
+    rng = random.Random(9)
+    rows = []
+    for i in range(40):
+        n, cx, cy, r = rng.randrange(4, 9), rng.uniform(-1, 1), rng.uniform(-1, 1), rng.uniform(0.01, 0.2)
+        turns = sorted(rng.uniform(0, 2 * math.pi) for _ in range(n))
+        ring = [(round(cx + r * math.cos(t), 3), round(cy + r * math.sin(t), 3)) for t in turns]
+        rows.append((i % 30, [ring + ring[:1]]))
+    rows.append((99, [[(0.0, 0.0), (0.3, 0.0), (0.3, 0.3), (0.0, 0.3), (0.0, 0.0)], [(0.1, 0.1), (0.2, 0.1), (0.2, 0.2), (0.1, 0.1)]]))
+    polygons = g.with_bounds(spark.createDataFrame(rows, "id int, rings array<array<struct<x:double,y:double>>>"))
+
+    def cover():
+        frame = spatial.polygon_cover(polygons, ["id"], 0.05, small_edges=3).frame
+        return sorted(
+            (r.id, r.cov_ix, r.cov_iy, r.cov_ref_x, r.cov_ref_y, r.cov_ref_inside, sorted(map(tuple, r.cov_edges)), r.cov_xmin)
+            for r in frame.filter("cov_ref_x IS NOT NULL").collect()
+        )
+
+    got = cover()
+    bounds = polygons.select("id", "xmin", "ymin", "xmax", "ymax", g.ring_edges().alias("cov_edges"))
+    alone = spatial._cut_in_row(bounds, ["id"], 0.05)
+    assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(spatial, "FEW_EDGE_CELLS", 0)
+    assert got == cover() and len(got) > 200
