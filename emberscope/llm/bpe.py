@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from emberscope.llm.pretokens import BatchEncoder
+from emberscope.llm.pretokens import BatchEncoder, byte_letters
 from emberscope.llm.storage import text_of
 from emberscope.session import ship_package
 
@@ -34,16 +34,6 @@ OUTPUTS = {
 }
 
 
-def byte_letters() -> list[str]:
-    """The printable letter that stands for each byte in byte-level vocabularies."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    letters, extra = {b: chr(b) for b in plain}, 0x100
-    for b in range(256):
-        if b not in letters:
-            letters[b], extra = chr(extra), extra + 1
-    return [letters[b] for b in range(256)]
-
-
 class Bpe:
     """A vocabulary with ranked merges."""
 

@@ -45,6 +45,16 @@ def _classes() -> np.ndarray:
     return table
 
 
+def byte_letters() -> list[str]:
+    """The printable letter that stands for each byte in byte-level vocabularies."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters, extra = {b: chr(b) for b in plain}, 0x100
+    for b in range(256):
+        if b not in letters:
+            letters[b], extra = chr(extra), extra + 1
+    return [letters[b] for b in range(256)]
+
+
 def normalise_word_text(text: str) -> str:
     """Compose and lower-case character by character (so no final sigma)."""
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
@@ -97,10 +107,12 @@ def _keys(cp: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit key per pre-token, from mixed code points and odd powers by position."""
     size = end - begin
     ends = np.cumsum(size)
-    where = np.arange(ends[-1])
-    local = where - np.repeat(ends - size, size)
+    local = np.arange(ends[-1]) - np.repeat(ends - size, size)
+    # Pre-tokens of a byte vocabulary leave nothing out between them.
+    if ends[-1] != len(cp):
+        cp = cp[np.repeat(begin, size) + local]
     with np.errstate(over="ignore"):
-        mixed = (cp[np.repeat(begin, size) + local].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (cp.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
         mixed ^= mixed >> np.uint64(32)
@@ -112,6 +124,16 @@ def _keys(cp: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return key
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct key, and for every key the number of its place."""
+    order = np.argsort(keys)
+    sorted_keys = keys[order]
+    new = np.append(True, sorted_keys[1:] != sorted_keys[:-1])
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return order[new], inverse
+
+
 class BatchEncoder:
     """Encodes lists of texts; ``encode_words`` turns distinct pre-tokens into id lists, or
     into the bytes of their unsigned 32-bit ids.
@@ -125,15 +147,18 @@ class BatchEncoder:
         encode_words: Callable[[list[str]], list[list[int]] | list[bytes]],
         whole: Callable[[str], list[int]],
         special: tuple[str, ...],
+        cache_words: int = CACHE_WORDS,
+        chunk_chars: int = CHUNK_CHARS,
     ):
         self.words, self.encode_words, self.whole, self.special = words, encode_words, whole, special
+        self.cache_words, self.chunk_chars = cache_words, chunk_chars
         self.cache: dict[str, bytes] = {}
 
     def _look_up(self, found: list[str]) -> list[bytes]:
         out = list(map(self.cache.get, found))
         missing = [i for i, b in enumerate(out) if b is None]
         if missing:
-            if len(self.cache) + len(missing) > CACHE_WORDS:
+            if len(self.cache) + len(missing) > self.cache_words:
                 self.cache.clear()
             new = [found[i] for i in missing]
             for i, w, ids in zip(missing, new, self.encode_words(new)):
@@ -161,7 +186,7 @@ class BatchEncoder:
             begins = np.cumsum(sizes) - sizes
             begin, end = split_points(cp, begins[sizes > 0], self.words)
             if len(begin):
-                _, first, inverse = np.unique(_keys(cp, begin, end), return_index=True, return_inverse=True)
+                first, inverse = _distinct(_keys(cp, begin, end))
                 found = [joined[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
                 each = self._look_up(found)
                 flat = np.frombuffer(b"".join(each), np.uint32)
@@ -185,7 +210,7 @@ class BatchEncoder:
         return ids, counts
 
     def chunks(self, texts: pa.Array | list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(first text, last text, ids, counts), each over about ``CHUNK_CHARS`` bytes of text.
+        """(first text, last text, ids, counts), each over about ``chunk_chars`` bytes of text.
 
         Only the texts of one chunk are taken out of an Arrow array at a time.
         """
@@ -193,13 +218,13 @@ class BatchEncoder:
         a = size = 0
         for b, n in enumerate(pc.binary_length(column).to_numpy().tolist(), 1):
             size += n
-            if size >= CHUNK_CHARS or b == len(column):
+            if size >= self.chunk_chars or b == len(column):
                 yield a, b, *self.encode(column.slice(a, b - a).to_pylist())
                 a, size = b, 0
 
 
 @lru_cache(4)
-def library_encoder(path: str) -> BatchEncoder:
+def library_encoder(path: str, cache_words: int = CACHE_WORDS, chunk_chars: int = CHUNK_CHARS) -> BatchEncoder:
     """Encoder over a vocabulary file of the tokenizers library, one per Python worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -214,21 +239,20 @@ def library_encoder(path: str) -> BatchEncoder:
         return [e.ids for e in tok.encode_batch_fast(found, add_special_tokens=False)]
 
     if not words:
-        # A token of a byte vocabulary is written with one character for each of its bytes.
-        token_bytes = np.zeros(max(tok.get_vocab().values()) + 1, np.int64)
-        for token, i in tok.get_vocab().items():
-            token_bytes[i] = len(token)
-        one_by_one = encode_words
-
-        def encode_words(found: list[str]) -> list[list[int]] | list[bytes]:
-            """All words in one go; their ids are told apart by the bytes that tokens stand for."""
-            ids = np.array(tok.encode_batch_fast([found], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
-            word_ends = np.cumsum(np.fromiter((len(w.encode("utf-8", "surrogatepass")) for w in found), np.int64, len(found)))
-            token_ends = np.cumsum(token_bytes[ids])
-            at = np.searchsorted(token_ends, word_ends)
-            if not len(ids) or token_ends[-1] != word_ends[-1] or (token_ends[at] != word_ends).any():
-                return one_by_one(found)
-            flat, ends = ids.tobytes(), (4 * (at + 1)).tolist()
+        alphabet, tokenize = np.array([ord(c) for c in byte_letters()], np.uint32), tok.model.tokenize
+
+        def encode_words(found: list[str]) -> list[bytes]:
+            """A pre-token goes straight to the model of the library, in the letters of its bytes."""
+            data = np.frombuffer("".join(found).encode("utf-8", "surrogatepass"), np.uint8)
+            letters = alphabet[data].tobytes().decode("utf-32-le")
+            places = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))
+            word_ends = places[np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))].tolist()
+            ids: list[int] = []
+            ends = []
+            for a, b in zip([0, *word_ends], word_ends):
+                ids += [t.id for t in tokenize(letters[a:b])]
+                ends.append(4 * len(ids))
+            flat = array("I", ids).tobytes()
             return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
-    return BatchEncoder(words, encode_words, lambda t: tok.encode(t, add_special_tokens=False).ids, special)
+    return BatchEncoder(words, encode_words, lambda t: tok.encode(t, add_special_tokens=False).ids, special, cache_words, chunk_chars)

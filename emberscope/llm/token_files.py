@@ -33,6 +33,9 @@ SHARD_CHARS = 24_000_000
 BLOCK_IDS = 250_000
 # Rows in a block, which bounds the work for its index where texts are short.
 BLOCK_ROWS = 8_192
+# Bounds of the encoder, beside the texts and blocks that a worker holds.
+CACHE_WORDS = 300_000
+CHUNK_CHARS = 400_000
 
 BLOCK = (
     "shard int, block int, before long, n_ids long, first_key string, last_key string, keys array<string>,"
@@ -58,25 +61,46 @@ def _slot(h: int, pilot: int, n: int) -> int:
     return _mix(h ^ _mix(pilot + 1)) % n
 
 
+def _mix_all(x: np.ndarray) -> np.ndarray:
+    """``_mix`` of many numbers."""
+    x = (x ^ x >> np.uint64(31)) * np.uint64(0x7FB5D329728EA185)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x81DADEF4BC2DD44D)
+    return x ^ x >> np.uint64(33)
+
+
 def build_index(keys: list[str]) -> tuple[list[int], list[int]]:
-    """Pilots by bucket, and the slot of each of the distinct ``keys``."""
+    """Pilots by bucket, and the slot of each of the distinct ``keys``.
+
+    A bucket takes the first pilot that sends its keys to free slots; pilots are tried side by side.
+    """
     n = len(keys)
-    hashes = [_hash(k) for k in keys]
-    buckets: list[list[int]] = [[] for _ in range(n // 4 + 1)]
-    for i, h in enumerate(hashes):
-        buckets[h % len(buckets)].append(i)
-    pilots, slots, taken = [0] * len(buckets), [0] * n, bytearray(n)
-    for b in sorted(range(len(buckets)), key=lambda b: -len(buckets[b])):
-        own, pilot = buckets[b], 0
-        while own:
-            at = [_slot(hashes[i], pilot, n) for i in own]
-            if len(set(at)) == len(at) and not any(taken[s] for s in at):
+    hashes = np.fromiter(map(_hash, keys), np.uint64, n)
+    n_buckets = n // 4 + 1
+    bucket = (hashes % np.uint64(n_buckets)).astype(np.int64)
+    members, sizes = np.argsort(bucket, kind="stable"), np.bincount(bucket, minlength=n_buckets)
+    ends = np.cumsum(sizes)
+    pilots, slots, taken = [0] * n_buckets, np.zeros(n, np.int64), np.zeros(n, bool)
+    salts = np.zeros(0, np.uint64)
+    for b in np.argsort(-sizes, kind="stable").tolist():
+        own = members[ends[b] - sizes[b] : ends[b]]
+        first, tries = 0, 32
+        while len(own):
+            while len(salts) < first + tries:
+                more = np.arange(len(salts) + 1, 2 * len(salts) + tries + 1, dtype=np.uint64)
+                salts = np.append(salts, _mix_all(more))
+            at = (_mix_all(hashes[own] ^ salts[first : first + tries, None]) % np.uint64(n)).astype(np.int64)
+            good = ~taken[at].any(axis=1)
+            if len(own) > 1:
+                apart = np.sort(at, axis=1)
+                good &= (apart[:, 1:] != apart[:, :-1]).all(axis=1)
+            found = int(good.argmax())
+            if good[found]:
+                pilots[b] = first + found
+                slots[own] = at[found]
+                taken[at[found]] = True
                 break
-            pilot += 1
-        pilots[b] = pilot
-        for i, s in zip(own, at if own else []):
-            taken[s], slots[i] = 1, s
-    return pilots, slots
+            first, tries = first + tries, min(2 * tries, 4096)
+    return pilots, slots.tolist()
 
 
 class Block:
@@ -148,7 +172,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, shard = library_encoder(vocabulary), TaskContext.get().partitionId()
+        encoder, shard = library_encoder(vocabulary, CACHE_WORDS, CHUNK_CHARS), TaskContext.get().partitionId()
         block = before = size = 0
         keys: list[str] = []
         parts: list[np.ndarray] = []

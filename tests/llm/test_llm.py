@@ -513,3 +513,26 @@ def test_new_words_of_a_byte_vocabulary_are_encoded_in_one_go():
     got = encoder.encode_words(found)
     assert all(isinstance(b, bytes) for b in got)
     assert [np.frombuffer(b, np.uint32).tolist() for b in got] == each
+
+
+def test_pilots_are_tried_side_by_side(monkeypatch):
+    """A key costs no Python call for each pilot tried; each bucket takes its first pilot that fits."""
+    from emberscope.llm import token_files
+
+    calls, mix = [], token_files._mix
+    monkeypatch.setattr(token_files, "_mix", lambda x: calls.append(x) or mix(x))
+    for n in (1, 2, 5, 700):
+        keys = [f"key {i}" for i in range(n)]
+        pilots, slots = token_files.build_index(keys)
+        assert not calls and sorted(slots) == list(range(n))
+        hashes = [token_files._hash(k) for k in keys]
+        buckets = [h % len(pilots) for h in hashes]
+        taken = set()
+        for b in sorted(range(len(pilots)), key=lambda b: -buckets.count(b)):
+            own = [i for i in range(n) if buckets[i] == b]
+            for pilot in range(pilots[b] + 1):
+                at = [token_files._slot(hashes[i], pilot, n) for i in own]
+                assert (len({*at}) == len(at) and not taken & {*at}) == (pilot == pilots[b])
+            assert at == [slots[i] for i in own]
+            taken |= {*at}
+        calls.clear()
